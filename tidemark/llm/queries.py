@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from . import packing, sharding
+from . import packing, quality, sharding, simhash, substring
 
-QUERIES = {"op1_reshard": sharding.op1_reshard, "op8_pack": packing.op8_pack}
+QUERIES = {
+    "op1_reshard": sharding.op1_reshard,
+    "op2_simhash": simhash.op2_simhash,
+    "op3_substring": substring.op3_substring,
+    "op5_quality": quality.op5_quality,
+    "op8_pack": packing.op8_pack,
+}
 ORACLES: dict[str, str] = {}
