@@ -39,24 +39,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """(batch, doc_id, text): documents dealt by hash into batches of about ``batch_bytes`` of text each.
+def text_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES, carry: bool = False) -> DataFrame:
+    """(batch, doc_id, text) and, to ``carry`` them along, all other columns as a struct ``rest``: documents dealt by hash into batches of about ``batch_bytes`` of text each.
 
     The number of batches follows the bytes of the table, so a batch keeps its size at any scale. Copies of one text
     under different doc_ids fall into different batches.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rest = [F.struct(F.lit(None).cast("int").alias("__"), *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text"))).alias("rest")] if carry else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *rest)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / batch_bytes))
-    return docs.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n)).cast("int").alias("batch"), "doc_id", "text")
+    return docs.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n)).cast("int").alias("batch"), *docs.columns)
 
 
-def sorted_rows(table: pa.Table) -> tuple[np.ndarray, list]:
-    """doc_ids (null: LAST_ID) and texts (null: None) of a batch in an order that depends on the rows alone."""
+def sorted_rows(table: pa.Table) -> tuple[np.ndarray, list, list[int]]:
+    """doc_ids (null: LAST_ID) and texts (null: None) of a batch in an order that depends on the rows alone, and that order."""
     ids = np.array([LAST_ID if x is None else x for x in table["doc_id"].to_pylist()], np.int64)
     texts = table["text"].to_pylist()
     order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i] or ""))
-    return ids[order], [texts[i] for i in order]
+    return ids[order], [texts[i] for i in order], order
 
 
 def pack(a: np.ndarray) -> bytes:

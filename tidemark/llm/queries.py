@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import packing, quality, sharding, simhash, substring
+from . import decontam, packing, quality, sharding, simhash, substring
 
 QUERIES = {
     "op1_reshard": sharding.op1_reshard,
     "op2_simhash": simhash.op2_simhash,
     "op3_substring": substring.op3_substring,
     "op5_quality": quality.op5_quality,
+    "op7_decontam": decontam.op7_decontam,
     "op8_pack": packing.op8_pack,
 }
 ORACLES: dict[str, str] = {}

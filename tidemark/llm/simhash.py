@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from .common import materialize
 
@@ -97,8 +97,28 @@ def forest(fp: np.ndarray, split: int, distance: int) -> list[tuple[int, int]]:
     return out
 
 
-def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK) -> DataFrame:
-    """(a, b) with a < b: links between the different fingerprints of ``fps`` (column ``fp``), as forests by key."""
+def near_pairs(fp: np.ndarray, split: int, distance: int, all_up_to: int = 64) -> list[tuple[int, int]]:
+    """Close pairs to be verified: all of them among up to ``all_up_to`` members, else for each member that with its pivot.
+
+    Pivots are the members with the most close ones, taken greedily, as the text that many others were changed from
+    has; a forest over all close pairs comes on top, so that what is connected by distance stays connected.
+    """
+    n = len(fp)
+    near = [np.flatnonzero(np.bitwise_count((fp[split:] if split else fp) ^ x) <= distance) + split for x in fp[: split or n]]
+    if n <= all_up_to:
+        return [(i, int(j)) for i, js in enumerate(near) for j in js if i < j]
+    free, out = np.ones(n, bool), []
+    for i in sorted(range(len(near)), key=lambda i: (-len(near[i]), i)):
+        js = near[i][free[near[i]]]
+        js = js[js != i]
+        if len(js) and (free[i] or split):
+            out += [(min(i, int(j)), max(i, int(j))) for j in js]
+            free[js] = False
+    return out + forest(fp, split, distance)
+
+
+def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK, connect=forest) -> DataFrame:
+    """(a, b) with a < b: links between the different fingerprints of ``fps`` (column ``fp``), by default forests by key."""
     masks = block_masks(blocks)
     keys: list[Column] = []
     for t, kept in enumerate(combinations(range(blocks), blocks - distance)):
@@ -124,7 +144,7 @@ def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK
                 x, r = fp[at[k] : at[k + 1]], right[at[k] : at[k + 1]]
                 if not same[k]:
                     x = np.concatenate([x[~r], x[r]])
-                for i, j in forest(x, 0 if same[k] else int((~r).sum()), distance):
+                for i, j in connect(x, 0 if same[k] else int((~r).sum()), distance):
                     u, v = x[i : i + 1].view(np.int64)[0], x[j : j + 1].view(np.int64)[0]
                     a.append(min(u, v))
                     b.append(max(u, v))
@@ -167,6 +187,99 @@ def groups(rows: DataFrame, distance: int = 3, blocks: int = 6) -> DataFrame:
     return rows.join(per_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+#: For near_duplicates: shingle length, similarity, size of the sketch, bits that word fingerprints may differ in, blocks.
+SHINGLE, SIMILARITY, SKETCH, WORD_DISTANCE, WORD_BLOCKS = 5, 0.8, 128, 6, 9
+
+
+def profile(text: str | None) -> tuple[int, bytes]:
+    """The majority bits over a text's different words, and the ``SKETCH`` smallest 32-bit hashes of its word shingles."""
+    import xxhash
+
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return 0, b""
+    h = np.array([xxhash.xxh64_intdigest(w, 42) for w in dict.fromkeys(parts)], "<u8")
+    sums = np.zeros(64, np.int64)
+    for at in range(0, len(h), 255):
+        sums += np.unpackbits(h[at : at + 255].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    fp = int(np.packbits(2 * sums > len(h), bitorder="little").view("<u8")[0])
+    joined = b" ".join(parts)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    n = max(1, len(parts) - SHINGLE + 1)
+    stops = (ends[SHINGLE - 1 :] - 1).tolist() if len(parts) >= SHINGLE else [len(joined)]
+    view = memoryview(joined)
+    sketch = np.unique(np.array([xxhash.xxh32_intdigest(view[a:b]) for a, b in zip([0, *ends[: n - 1].tolist()], stops, strict=True)], "<u4"))
+    return fp, sketch[:SKETCH].tobytes()
+
+
+def sketch_similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two shingle sets from their smallest hashes: exact for sets that fit the sketch."""
+    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    union = np.union1d(x, y)
+    if len(x) >= SKETCH or len(y) >= SKETCH:  # beyond the largest hash of a full sketch nothing is known of it
+        union = union[union <= min(s[-1] for s in (x, y) if len(s) >= SKETCH)]
+    return float(np.isin(np.intersect1d(x, y), union).sum() / max(1, len(union)))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(least, t1, t2): of every group the smallest doc_id and the keys of its text; that row stays.
+
+    Texts are grouped if their sets of five-word shingles are ``similarity`` alike or more. SimHash finds the candidates:
+    fingerprints of the texts' different words (whose bits hardly move where shingles still agree by 0.8) within
+    ``WORD_DISTANCE`` bits by pigeonhole blocks; the pairs are then verified on sketches of the shingles.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = [profile(x.as_py()) for x in batch["text"]]
+            fp = np.array([f for f, _ in both], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["t1"], batch["t2"], pa.array(fp), pa.array([k for _, k in both], pa.binary())], names=["doc_id", "t1", "t2", "fp", "sketch"])
+
+    rows = keyed(docs).select("doc_id", "t1", "t2", "text").mapInArrow(run, "doc_id long, t1 long, t2 long, fp long, sketch binary")
+    rows = materialize(rows, "profiles")
+    # the rows of one text are one node, named by its key
+    texts = materialize(rows.groupBy("t1", "t2", "fp").agg(F.min("doc_id").alias("least"), F.min("sketch").alias("sketch")), "texts")
+    first = texts.groupBy("fp").agg(F.min("t1").alias("head"))
+    pairs = links(first.select("fp"), WORD_DISTANCE, WORD_BLOCKS, connect=near_pairs)
+    a, b = first.toDF("fa", "a"), first.toDF("fb", "b")
+    across = pairs.join(a, pairs["a"] == a["fa"]).select(F.col("fa"), a["a"].alias("ha"), pairs["b"].alias("fb")).join(b, "fb").select(F.col("ha").alias("a"), F.col("b"))
+    within = texts.join(first, "fp").where("t1 <> head").select(F.col("head").alias("a"), F.col("t1").alias("b"))
+    pairs = across.union(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["a", "b"]).filter(pa.array([sketch_similarity(x.as_py(), y.as_py()) >= similarity for x, y in zip(batch["x"], batch["y"], strict=True)], pa.bool_()))
+
+    x = texts.select(F.col("t1").alias("a"), F.col("sketch").alias("x"))
+    y = texts.select(F.col("t1").alias("b"), F.col("sketch").alias("y"))
+    alike = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    roots = components(alike)
+    roots = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    named = texts.join(roots, texts["t1"] == roots["node"], "left").select("t1", "t2", "least", F.coalesce("root", "t1").alias("root"))
+    # of a group stays the text with the smallest doc_id; a group without ids keeps its smallest text
+    best = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "t1", "t2")).alias("best")).select("best.least", "best.t1", "best.t2")
+    return best
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and two hashes of the text that name it."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
+
+
+def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row of each group of near duplicates, with all columns: that with the smallest doc_id."""
+    keep = near_duplicates(docs, similarity).select(F.col("least").alias("__least"), F.col("t1").alias("__1"), F.col("t2").alias("__2"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(1), text)})
+    met = own.join(keep, (own["__t1"] == keep["__1"]) & (own["__t2"] == keep["__2"]) & own["doc_id"].cast("long").eqNullSafe(keep["__least"]), "left_semi")
+    # a row that stands twice stays once; such rows are neighbours already, dealt by the join
+    once = F.row_number().over(W.partitionBy("__t1", "__t2", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63))).orderBy("__t1"))
+    return met.withColumn("__n", once).where("__n = 1").select(*docs.columns)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialize(fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet"), 3), "fingerprints")
     return groups(rows, 3).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -42,7 +42,7 @@ class Batch:
     """The documents of one batch in their order, and the hashes of their words."""
 
     def __init__(self, table: pa.Table):
-        self.ids, self.texts = sorted_rows(table)
+        self.ids, self.texts, self.order = sorted_rows(table)
         hashes = WordHashes()
         each = [hashes.of((t or "").encode("utf-8", "surrogatepass").split()) for t in self.texts]
         self.sizes = np.array([len(h) for h in each], np.int64)
@@ -216,47 +216,64 @@ def covered(b: Batch, window: int, gone_h: np.ndarray, gone_other: np.ndarray) -
     return np.cumsum(cover)[:-1] > 0
 
 
-def _remove(window: int) -> Callable:
+def _remove(window: int, with_text: bool) -> Callable:
     def run(key: tuple, table: pa.Table, gone: pa.Table) -> pa.Table:
-        if not len(table):
-            return OUT.empty_table()
         b = Batch(table)
         rows = list(zip(gone["n"].to_pylist(), gone["h"].to_pylist(), gone["x"].to_pylist(), strict=True))
         h = np.concatenate([*(unpack_sorted(x, n, np.uint64) for n, x, _ in rows), np.empty(0, np.uint64)])
         other = np.concatenate([*(unpack(x, n, np.uint64) for n, _, x in rows), np.empty(0, np.uint64)])
         order = np.argsort(h, kind="stable")
         cover = covered(b, window, h[order], other[order])
-        kept, removed = [], []
+        removed, digest, kept = [], [], []
         for k, text in enumerate(b.texts):
             own = cover[b.first[k] : b.first[k] + b.sizes[k]]
-            removed.append(int(own.sum()))
-            if not removed[-1]:
-                kept.append(None)
-                continue
             words = (text or "").encode("utf-8", "surrogatepass").split()
-            kept.append(b" ".join([w for w, c in zip(words, own.tolist(), strict=True) if not c]))
-        joined = [k if k is not None else b" ".join((t or "").encode("utf-8", "surrogatepass").split()) for k, t in zip(kept, b.texts, strict=True)]
-        return pa.Table.from_arrays([pa.array([None if i == LAST_ID else i for i in b.ids.tolist()], pa.int64()), pa.array(b.sizes), pa.array(removed, pa.int64()), pa.array([hashlib.sha256(j).hexdigest() for j in joined]), pa.array([None if k is None else k.decode("utf-8", "replace") for k in kept], pa.string()), pa.array(b.texts, pa.string())], schema=OUT)
+            removed.append(int(own.sum()))
+            if removed[-1]:
+                words = [w for w, c in zip(words, own.tolist(), strict=True) if not c]
+            joined = b" ".join(words)
+            digest.append(hashlib.sha256(joined).hexdigest())
+            kept.append(joined.decode("utf-8", "replace") if removed[-1] else text)
+        arrays = {"doc_id": pa.array([None if i == LAST_ID else i for i in b.ids.tolist()], pa.int64()), "n_words": pa.array(b.sizes), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
+        if with_text:
+            arrays |= {"text": pa.array(kept, pa.string()), "rest": table["rest"].take(pa.array(b.order, pa.int64())).combine_chunks()}
+        return pa.table(arrays)
 
     return run
 
 
-OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()), ("text", pa.string())])
-OUT_SQL = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, text string"
+RESULT_SQL = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """A row for each row of ``docs``: its numbers of words and of removed words, the SHA-256 of the kept words, the text
-    as it was, and as ``kept`` the words that stay, joined by spaces (null where nothing was removed)."""
+def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
+    """A row for each row of ``docs``: its numbers of words and of removed words and the SHA-256 of the kept words; with
+    ``with_text`` also the text that stays (as it was where nothing was removed, else the kept words joined by spaces)
+    and all other columns of ``docs`` in the struct ``rest``."""
     block = (window + 1) // 2
-    batched = text_batches(docs)
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = max(8, math.ceil(total / BUCKET_BYTES))
+    batched = text_batches(docs, carry=with_text)
+    schema = RESULT_SQL
+    if with_text:
+        schema += f", text string, rest {batched.schema['rest'].dataType.simpleString()}"
     by_batch = batched.groupBy("batch")
     hits = by_batch.applyInArrow(_index(block, buckets), SENT_SQL).groupBy("bucket").applyInArrow(_answer_probe, BACK_SQL)
     sent = by_batch.cogroup(hits.groupBy("batch")).applyInArrow(_extend(block, window, buckets), SENT_SQL)
     gone = sent.groupBy("bucket").applyInArrow(_answer_extend, BACK_SQL)
-    return by_batch.cogroup(gone.groupBy("batch")).applyInArrow(_remove(window), OUT_SQL)
+    return by_batch.cogroup(gone.groupBy("batch")).applyInArrow(_remove(window, with_text), schema)
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with its columns and rows, and of each repeated passage only the words of its first document.
+
+    A column ``n_chars`` is counted anew; a text whose every word goes becomes empty.
+    """
+    out = remove_repeats(docs, window, with_text=True)
+    cols = []
+    for f in docs.schema.fields:
+        col = F.col(f.name) if f.name in ("doc_id", "text") else F.length(F.coalesce("text", F.lit(""))) if f.name == "n_chars" else F.col(f"rest.`{f.name}`")
+        cols.append(col.cast(f.dataType).alias(f.name))
+    return out.select(*cols)
 
 
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
