@@ -39,6 +39,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def read_texts(spark: SparkSession, path: str, rows: int = 512) -> DataFrame:
+    """The table at ``path``, whose long texts go to Python workers in Arrow batches of at most ``rows`` rows.
+
+    The default of 10,000 rows is meant for numbers; with texts it fills the JVM with buffers of tens of MB.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))
+    return spark.read.parquet(path)
+
+
 def text_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES, carry: bool = False) -> DataFrame:
     """(batch, doc_id, text) and, to ``carry`` them along, all other columns as a struct ``rest``: documents dealt by hash into batches of about ``batch_bytes`` of text each.
 

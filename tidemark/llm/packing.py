@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import materialize
+from .common import materialize, read_texts
 
 CAPACITY, END_ID = 1024, 2
 #: Parts into which the documents of one length are dealt to be ranked, so that one length may hold any share of rows.
@@ -184,5 +184,5 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, **kinds) -> DataFr
 
 
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    pieces = pack_documents(read_texts(spark, f"{sf_dir}/documents.parquet"))
     return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
