@@ -39,15 +39,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_texts(spark: SparkSession, path: str, rows: int = 512) -> DataFrame:
-    """The table at ``path``, whose long texts go to Python workers in Arrow batches of at most ``rows`` rows.
+def small_batches(docs: DataFrame, rows: int = 512) -> DataFrame:
+    """``docs``; its session sends Python workers Arrow batches of at most ``rows`` rows from now on.
 
     The default of 10,000 rows is meant for numbers; with texts it fills the JVM with buffers of tens of MB.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows:
-        spark.conf.set(key, str(rows))
-    return spark.read.parquet(path)
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", docs.sparkSession.conf
+    if int(conf.get(key, "10000")) > rows:
+        conf.set(key, str(rows))
+    return docs
 
 
 def text_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES, carry: bool = False) -> DataFrame:
@@ -57,7 +57,7 @@ def text_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES, carry: bool =
     under different doc_ids fall into different batches.
     """
     rest = [F.struct(F.lit(None).cast("int").alias("__"), *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text"))).alias("rest")] if carry else []
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *rest)
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *rest)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / batch_bytes))
     return docs.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n)).cast("int").alias("batch"), *docs.columns)

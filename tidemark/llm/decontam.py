@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .common import small_batches
+
 K1, B = 1.2, 0.75
 #: Share of an item's own BM25 score that a passage must reach, and share of its shingles that it must hold.
 MIN_SCORE, MIN_OVERLAP, SHINGLE = 0.6, 0.8, 5
@@ -228,7 +230,7 @@ def slices(batch: pa.RecordBatch, text: pa.Array) -> Iterator[tuple[pa.RecordBat
 def matches(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE, min_overlap: float = MIN_OVERLAP) -> DataFrame:
     """A row for each verified (document, item)."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = spark.createDataFrame([], HITS)
     for index in indexes(benchmark):
         sent = spark.sparkContext.broadcast(index)
@@ -255,7 +257,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_
                 for part, texts in slices(batch, batch.column(names.index("text")).cast(pa.string())):
                     yield part.filter(pa.array([not x for x in sent.value.search(texts, min_score, min_overlap)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = small_batches(docs).mapInArrow(run, docs.schema)
     return docs
 
 

@@ -21,6 +21,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .common import small_batches
+
 #: A subtree is template if it stands on at least so many pages of its host and on at least this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.5
 
@@ -226,7 +228,7 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
+    pages = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

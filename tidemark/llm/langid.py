@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .common import small_batches
+
 DIM, LENGTHS = 1 << 14, (1, 2, 3, 4)
 PER_LANGUAGE, LANDMARKS, RIDGE, SHARPNESS, FOLDS, ROWS = 600, 48, 1e-2, 6.0, 5, 64
 #: Characters of a text that are turned into n-grams at once; n-grams across the seams are counted as well.
@@ -140,7 +142,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             names, scores = sent.value.predict(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

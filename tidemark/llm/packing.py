@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import materialize, read_texts
+from .common import materialize, small_batches
 
 CAPACITY, END_ID = 1024, 2
 #: Parts into which the documents of one length are dealt to be ranked, so that one length may hold any share of rows.
@@ -98,7 +98,7 @@ def tokenize(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, js
                     rows.append((doc_id, k, start, length, zlib.crc32(ids[start : start + length])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -184,5 +184,5 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, **kinds) -> DataFr
 
 
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack_documents(read_texts(spark, f"{sf_dir}/documents.parquet"))
+    pieces = pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .common import small_batches
+
 BUCKETS, DIM, HIDDEN, NONZERO = 4096, 96, 32, 6
 MAX_TRAIN, EPOCHS, SEED = 6000, 60, 17
 THRESHOLD, FOLDS = 0.3, 5
@@ -182,7 +184,7 @@ def score(docs: DataFrame, model: Model, schema: str = "doc_id long, score doubl
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sent.value.score(batch["text"].to_pylist(), units), pa.float64())], names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -195,7 +197,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
             texts = batch.column(names.index("text")).cast(pa.string()).to_pylist()
             yield batch.filter(pa.array(sent.value.score(texts, units) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

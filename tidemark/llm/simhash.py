@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from .common import materialize
+from .common import materialize, small_batches
 
 #: Most fingerprints of one key that are compared in one call.
 CHUNK = 2048
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             fp = np.array([fingerprint(x.as_py(), words) for x in batch["text"]], np.uint64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def block_masks(blocks: int, bits: int = 64) -> list[int]:
@@ -266,7 +266,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text and two hashes of the text that name it."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
