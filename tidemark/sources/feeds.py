@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Of "name type, ..."; needs no session, as a parser of Spark would."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in columns.split(","))])
+
+
 # Column names and types of the feed and of stream events.
-RAW_FEED = T.StructType.fromDDL(
+RAW_FEED = _struct(
     "trans_date_trans_time timestamp_ntz, cc_num bigint, merchant string, category string, amt double, first string, last string, gender string, street string, city string, state string, zip int,"
     " lat double, long double, city_pop int, job string, dob string, trans_num string, unix_time bigint, merch_lat double, merch_long double, is_fraud int, merch_zipcode double"
 )
-STREAM_EVENT = T.StructType.fromDDL(
+STREAM_EVENT = _struct(
     "trans_num string, event_ts string, ingested_ts string, late boolean, amt double, category string, merchant string, state string, cc_num_hash string, cc_num_last4 string, is_fraud bigint, distance_km double, redelivery boolean"
 )
-CATEGORY_REF = T.StructType.fromDDL("category string, channel string")
+CATEGORY_REF = _struct("category string, channel string")
 RENAMES = {"trans_date_trans_time": "trans_time"}
 #: Seconds with or without a fraction.
 CSV_TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"

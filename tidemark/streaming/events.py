@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -125,6 +125,7 @@ class Accounts(StreamingQueryListener):
     def onQueryStarted(self, event) -> None:  # noqa: N802
         with self._news:
             self._by.setdefault(str(event.id), Account())
+            self._ended.discard(str(event.id))  # it may be a query that goes on from its checkpoint
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
         import json
@@ -148,7 +149,7 @@ class Accounts(StreamingQueryListener):
         """After the query ended: waits until its last event came in."""
         with self._news:
             self._news.wait_for(lambda: str(query.id) in self._ended, wait)
-            return self._by.get(str(query.id), Account())
+            return replace(self._by.get(str(query.id), Account()))
 
 
 def replay(tx: DataFrame, duplicates: float = 0.05, late: float = 0.03, late_seconds: tuple[int, int] = (60, 240), per_second: int = 400, start: str = "2024-01-01 00:00:00", seed: int = 42, force_late: int | None = None) -> DataFrame:
