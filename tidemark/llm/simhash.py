@@ -2,7 +2,7 @@
 
 ``fingerprints`` gives every text 64 bits. ``links`` finds all pairs of fingerprints within a Hamming distance:
 the bits are cut into blocks, more than the distance, so that a close pair agrees on at least ``blocks - distance`` of them;
-fingerprints are keyed once by every choice of that many blocks, joined by key, and verified. Only different
+fingerprints are keyed by every choice of that many blocks, brought together by key, and verified. Only different
 fingerprints take part, so a text with any number of copies counts once. Fingerprints of one key are compared
 in chunks of bounded size; a key with more of them than a chunk holds is dealt over pairs of chunks. A chunk
 returns a spanning forest of its close pairs, not the pairs: groups keep every link, and output grows with the fingerprints.
@@ -20,9 +20,9 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import materialize, small_batches
+from .common import materialize, mix, small_batches
 
 #: Most fingerprints of one key that are compared in one call.
 CHUNK = 2048
@@ -117,20 +117,92 @@ def near_pairs(fp: np.ndarray, split: int, distance: int, all_up_to: int = 64) -
     return out + forest(fp, split, distance)
 
 
-def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK, connect=forest) -> DataFrame:
-    """(a, b) with a < b: links between the different fingerprints of ``fps`` (column ``fp``), by default forests by key."""
-    masks = block_masks(blocks)
-    keys: list[Column] = []
-    for t, kept in enumerate(combinations(range(blocks), blocks - distance)):
-        mask = sum(masks[k] for k in kept)
-        keys.append(F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(mask)))))
-    keyed = fps.select("fp", F.explode(F.array(*keys)).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / F.lit(chunk * 3 / 4)).cast("int").alias("parts"))
-    members = keyed.join(shared, "key")
-    part = F.pmod(F.xxhash64("fp"), F.when(F.col("parts") > 1, F.col("parts")).otherwise(1)).cast("int")
-    # a member of part p meets every part q: in the cell (p, q) or (q, p), as (p, p) if the key has one part
-    members = members.withColumn("p", part).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = members.groupBy("key", F.least("p", "q").alias("lo"), F.greatest("p", "q").alias("hi")).agg(F.collect_list(F.struct((F.col("p") == F.greatest("p", "q")).alias("right"), "fp")).alias("m"))
+#: Fingerprints that are keyed at once, and keyed fingerprints for each bucket.
+KEYED_ROWS, BUCKET_KEYS = 1 << 14, 1 << 20
+
+
+def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK, connect=forest, families: int = 1) -> DataFrame:
+    """(family, a, b) with a < b: links between the different fingerprints of ``fps``, by default forests by key.
+
+    ``fps`` has ``fp`` and ``family``, 0 to ``families`` - 1; only fingerprints of one family are compared.
+    A key is a family, a choice of ``blocks - distance`` blocks and their bits. Keyed fingerprints go, packed, to buckets by the hash of the key; a
+    bucket sorts them by key and compares those of one key. Members of keys with more than ``chunk`` are sent on and
+    compared in cells of two parts each.
+    """
+    blocks_of = block_masks(blocks)
+    masks = np.array([sum(blocks_of[k] for k in kept) for kept in combinations(range(blocks), blocks - distance)], np.uint64)
+    choices = len(masks)
+    masks = np.tile(masks, families)  # a table for each family and choice, at most 255
+    buckets = max(1, -(-fps.count() * choices // BUCKET_KEYS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def deal_out(family: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+            table = (family[None].astype(np.int64) * choices + np.arange(choices)[:, None]).ravel()
+            row = np.tile(np.arange(len(fp)), choices)
+            to = ((mix((fp[row] & masks[table]) + table.astype(np.uint64)) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+            by = np.argsort(to, kind="stable")
+            to, table, row = to[by], table[by].astype(np.uint8), row[by]
+            at = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+            payload = [table[i:j].tobytes() + fp[row[i:j]].tobytes() for i, j in zip(at, np.append(at[1:], len(to)), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(to[at], pa.int32()), pa.array(payload, pa.binary())], names=["bucket", "keyed"])
+
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            held.append((batch["family"].to_numpy(), batch["fp"].to_numpy().view(np.uint64)))
+            if sum(len(f) for f, _ in held) >= KEYED_ROWS:
+                yield deal_out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held.clear()
+        if sum(len(f) for f, _ in held):
+            yield deal_out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    def compare(key: tuple, rows: pa.Table) -> pa.Table:
+        parts = [(np.frombuffer(p, np.uint8, len(p) // 9), np.frombuffer(p, np.uint64, len(p) // 9, len(p) // 9)) for p in rows["keyed"].to_pylist()]
+        table, fp = np.concatenate([t for t, _ in parts]), np.concatenate([f for _, f in parts])
+        del parts
+        kind, family, a, b = [np.empty(0, bool)], [np.empty(0, np.int32)], [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+        order = np.argsort(table, kind="stable")
+        edge = np.searchsorted(table[order], np.arange(len(masks) + 1))
+        for t, m in enumerate(masks):
+            own = fp[order[edge[t] : edge[t + 1]]]
+            own = own[np.argsort(own & m, kind="stable")]
+            masked = own & m
+            at = np.flatnonzero(np.concatenate([[True], masked[1:] != masked[:-1]])) if len(own) else np.empty(0, np.int64)
+            size = np.diff(np.append(at, len(own)))
+            two = at[size == 2]
+            two = two[np.bitwise_count(own[two] ^ own[two + 1]) <= distance]
+            u, v = [own[two]], [own[two + 1]]
+            for i, n in zip(at[(size > 2) & (size <= chunk)].tolist(), size[(size > 2) & (size <= chunk)].tolist(), strict=True):
+                pairs = connect(own[i : i + n], 0, distance)
+                if pairs:
+                    p = np.array(pairs, np.int64) + i
+                    u.append(own[p[:, 0]])
+                    v.append(own[p[:, 1]])
+            u, v = np.concatenate(u), np.concatenate(v)
+            kind.append(np.zeros(len(u), bool))
+            family.append(np.full(len(u), t // choices, np.int32))
+            a.append(u)
+            b.append(v)
+            for i, n in zip(at[size > chunk].tolist(), size[size > chunk].tolist(), strict=True):
+                kind.append(np.ones(n, bool))
+                family.append(np.full(n, t // choices, np.int32))
+                a.append(np.full(n, mix(masked[i : i + 1] + np.uint64(t))[0]))
+                b.append(own[i : i + n])
+        return pa.table({"big": pa.array(np.concatenate(kind)), "family": pa.array(np.concatenate(family)), "a": pa.array(np.concatenate(a).view(np.int64)), "b": pa.array(np.concatenate(b).view(np.int64))})
+
+    found = fps.select(F.col("family").cast("int").alias("family"), "fp").mapInArrow(deal, "bucket int, keyed binary").groupBy("bucket").applyInArrow(compare, "big boolean, family int, a long, b long")
+    found = materialize(found, "links")
+    small = found.where("not big").select("family", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    members = found.where("big").select(F.col("a").alias("key"), "family", F.col("b").alias("fp"))
+    return small.union(_in_cells(members, distance, chunk, connect)).distinct()
+
+
+def _in_cells(members: DataFrame, distance: int, chunk: int, connect) -> DataFrame:
+    """Links among the members (key, family, fp) of large keys: each key is dealt into parts, and every two parts are a cell."""
+    size = members.groupBy("key").agg(F.count("*").alias("n")).select("key", F.ceil(F.col("n") / F.lit(chunk * 3 / 4)).cast("int").alias("parts"))
+    members = members.join(size, "key")
+    # a member of part p meets every part q: in the cell (p, q) or (q, p)
+    members = members.withColumn("p", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = members.groupBy("key", "family", F.least("p", "q").alias("lo"), F.greatest("p", "q").alias("hi")).agg(F.collect_list(F.struct((F.col("p") == F.greatest("p", "q")).alias("right"), "fp")).alias("m"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,18 +211,19 @@ def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK
             fp = flat.field("fp").to_numpy().view(np.uint64)
             right = flat.field("right").to_numpy(zero_copy_only=False)
             same = batch["lo"].to_numpy() == batch["hi"].to_numpy()
-            a, b = [], []
-            for k in range(len(batch)):
+            family, a, b = [], [], []
+            for k, own in enumerate(batch["family"].to_pylist()):
                 x, r = fp[at[k] : at[k + 1]], right[at[k] : at[k + 1]]
                 if not same[k]:
                     x = np.concatenate([x[~r], x[r]])
                 for i, j in connect(x, 0 if same[k] else int((~r).sum()), distance):
                     u, v = x[i : i + 1].view(np.int64)[0], x[j : j + 1].view(np.int64)[0]
+                    family.append(own)
                     a.append(min(u, v))
                     b.append(max(u, v))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(family, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["family", "a", "b"])
 
-    return cells.select("lo", "hi", "m").mapInArrow(run, "a long, b long").distinct()
+    return cells.select("family", "lo", "hi", "m").mapInArrow(run, "family int, a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -179,7 +252,7 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(rows: DataFrame, distance: int = 3, blocks: int = 6) -> DataFrame:
     """``rows`` (doc_id, fp) with component_id, the smallest doc_id that can be reached through links."""
     each = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fps")
-    roots = components(links(each.select("fp"), distance, blocks))
+    roots = components(links(each.select(F.lit(0).alias("family"), "fp"), distance, blocks))
     roots = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
     named = each.join(roots, each["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -187,29 +260,32 @@ def groups(rows: DataFrame, distance: int = 3, blocks: int = 6) -> DataFrame:
     return rows.join(per_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-#: For near_duplicates: shingle length, similarity, size of the sketch, bits that word fingerprints may differ in, blocks.
-SHINGLE, SIMILARITY, SKETCH, WORD_DISTANCE, WORD_BLOCKS = 5, 0.8, 128, 6, 9
+#: For near_duplicates: shingle length, similarity, size of the sketch; word fingerprints of each text, bits that they may
+#: differ in, and blocks.
+SHINGLE, SIMILARITY, SKETCH, FAMILIES, WORD_DISTANCE, WORD_BLOCKS = 5, 0.8, 128, 8, 3, 5
 
 
-def profile(text: str | None) -> tuple[int, bytes]:
-    """The majority bits over a text's different words, and the ``SKETCH`` smallest 32-bit hashes of its word shingles."""
+def profile(text: str | None) -> tuple[list[int], bytes]:
+    """``FAMILIES`` fingerprints over a text's different words, and the ``SKETCH`` smallest 32-bit hashes of its word shingles."""
     import xxhash
 
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0, b""
+        return [0] * FAMILIES, b""
     h = np.array([xxhash.xxh64_intdigest(w, 42) for w in dict.fromkeys(parts)], "<u8")
-    sums = np.zeros(64, np.int64)
-    for at in range(0, len(h), 255):
-        sums += np.unpackbits(h[at : at + 255].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
-    fp = int(np.packbits(2 * sums > len(h), bitorder="little").view("<u8")[0])
+    fps = []
+    for family in range(FAMILIES):
+        x, sums = mix(h * np.uint64(2 * family + 1)), np.zeros(64, np.int64)
+        for at in range(0, len(x), 255):  # sums of up to 255 bits fit a byte
+            sums += np.unpackbits(x[at : at + 255].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+        fps.append(int(np.packbits(2 * sums > len(x), bitorder="little").view("<i8")[0]))
     joined = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
     n = max(1, len(parts) - SHINGLE + 1)
     stops = (ends[SHINGLE - 1 :] - 1).tolist() if len(parts) >= SHINGLE else [len(joined)]
     view = memoryview(joined)
     sketch = np.unique(np.array([xxhash.xxh32_intdigest(view[a:b]) for a, b in zip([0, *ends[: n - 1].tolist()], stops, strict=True)], "<u4"))
-    return fp, sketch[:SKETCH].tobytes()
+    return fps, sketch[:SKETCH].tobytes()
 
 
 def sketch_similarity(a: bytes, b: bytes) -> float:
@@ -227,25 +303,25 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     """(least, t1, t2): of every group the smallest doc_id and the keys of its text; that row stays.
 
     Texts are grouped if their sets of five-word shingles are ``similarity`` alike or more. SimHash finds the candidates:
-    fingerprints of the texts' different words (whose bits hardly move where shingles still agree by 0.8) within
-    ``WORD_DISTANCE`` bits by pigeonhole blocks; the pairs are then verified on sketches of the shingles.
+    fingerprints of the texts' different words, whose bits hardly move where shingles still agree by 0.8, within
+    ``WORD_DISTANCE`` bits by pigeonhole blocks. A pair at the limit is that close in three of eight families (drawn by other
+    hashes) or so, and is found unless it is in none, about once in forty. Pairs are then verified on sketches of the shingles.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = [profile(x.as_py()) for x in batch["text"]]
-            fp = np.array([f for f, _ in both], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["t1"], batch["t2"], pa.array(fp), pa.array([k for _, k in both], pa.binary())], names=["doc_id", "t1", "t2", "fp", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["t1"], batch["t2"], pa.array([f for f, _ in both], pa.list_(pa.int64())), pa.array([k for _, k in both], pa.binary())], names=["doc_id", "t1", "t2", "fps", "sketch"])
 
-    rows = keyed(docs).select("doc_id", "t1", "t2", "text").mapInArrow(run, "doc_id long, t1 long, t2 long, fp long, sketch binary")
-    rows = materialize(rows, "profiles")
+    rows = keyed(docs).select("doc_id", "t1", "t2", "text").mapInArrow(run, "doc_id long, t1 long, t2 long, fps array<long>, sketch binary")
     # the rows of one text are one node, named by its key
-    texts = materialize(rows.groupBy("t1", "t2", "fp").agg(F.min("doc_id").alias("least"), F.min("sketch").alias("sketch")), "texts")
-    first = texts.groupBy("fp").agg(F.min("t1").alias("head"))
-    pairs = links(first.select("fp"), WORD_DISTANCE, WORD_BLOCKS, connect=near_pairs)
-    a, b = first.toDF("fa", "a"), first.toDF("fb", "b")
-    across = pairs.join(a, pairs["a"] == a["fa"]).select(F.col("fa"), a["a"].alias("ha"), pairs["b"].alias("fb")).join(b, "fb").select(F.col("ha").alias("a"), F.col("b"))
-    within = texts.join(first, "fp").where("t1 <> head").select(F.col("head").alias("a"), F.col("t1").alias("b"))
+    texts = materialize(rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), F.min("fps").alias("fps"), F.min("sketch").alias("sketch")), "texts")
+    each = texts.select("t1", F.posexplode("fps").alias("family", "fp"))
+    first = materialize(each.groupBy("family", "fp").agg(F.min("t1").alias("head"), F.count("*").alias("n")), "fps")
+    pairs = links(first.select("family", "fp"), WORD_DISTANCE, WORD_BLOCKS, connect=near_pairs, families=FAMILIES)
+    heads = first.select("family", F.col("fp").alias("a"), F.col("head").alias("ha"))
+    across = pairs.join(heads, ["family", "a"]).join(heads.toDF("family", "b", "hb"), ["family", "b"]).select(F.col("ha").alias("a"), F.col("hb").alias("b"))
+    within = each.join(first.where("n > 1").drop("n"), ["family", "fp"]).where("t1 <> head").select(F.col("head").alias("a"), F.col("t1").alias("b"))
     pairs = across.union(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
