@@ -17,7 +17,7 @@ def test_a_failed_audit_leaves_the_table(spark):
     with pytest.raises(AuditError):
         t.publish(spark.range(9), refuse)
     assert t.read().count() == 3
-    assert len([x for x in t.files.list(t.path) if x.startswith("v=")]) == 2  # the refused version stays for a look
+    assert len([x for x in t.files.list(t.path) if x.startswith("tidemark_version=")]) == 2  # the refused version stays for a look
 
 
 def test_readers_keep_their_version(spark):
@@ -37,6 +37,17 @@ def test_upsert_is_idempotent(spark):
     assert sorted((r["k"] or "", r["v"]) for r in t.read().collect()) == [("", 2), ("a", 1), ("b", 2), ("c", 2)]
 
 
+def test_upsert_touches_only_its_partitions(spark):
+    t = Table(spark, workdir(spark), ["d"], keyed_partitions=True)
+    rows = lambda *x: spark.createDataFrame(list(x), "k int, v int, d string")
+    t.upsert(rows((1, 1, "01"), (2, 1, "02"), (3, 1, None)), ["k", "d"])
+    before = t._manifest()["partitions"]
+    t.upsert(rows((2, 2, "02"), (4, 2, "03")), ["k", "d"])
+    after = t._manifest()["partitions"]
+    assert sorted((r["k"], r["v"], r["d"]) for r in t.read().collect()) == [(1, 1, "01"), (2, 2, "02"), (3, 1, None), (4, 2, "03")]
+    assert {p for p in before if before[p] == after[p]} == {"d=01", "d=__HIVE_DEFAULT_PARTITION__"} and before["d=02"] != after["d=02"]
+
+
 def test_partition_overwrite_leaves_others(spark):
     path = workdir(spark)
     overwrite_partitions(spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string"), path, ["p"])

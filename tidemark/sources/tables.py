@@ -1,8 +1,9 @@
 """Versioned tables on plain Parquet: atomic publish, write-audit-publish, partition overwrite, upsert, export.
 
-A table is a folder of version folders and a pointer file that names the current one. A version is written in full,
-checked, and only then named; readers that resolved the pointer before go on with their version. All file access goes
-through Hadoop's FileSystem API, so any store that Spark reads will do.
+A table is a folder of data folders, manifests and a pointer file that names the current manifest. A manifest lists the
+folders that make up a version, one a partition, so that a version may share the partitions it doesn't change with the one
+before. New data is written in full, checked, and only then named; readers that resolved the pointer before go on with their
+version. All file access goes through Hadoop's FileSystem API, so any store that Spark reads will do.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-POINTER = "_CURRENT"
+POINTER, VERSION = "_CURRENT", "tidemark_version"
 
 
 def workdir(spark: SparkSession) -> str:
@@ -76,11 +78,16 @@ class AuditError(Exception):
 
 @dataclass
 class Table:
-    """A versioned table at ``path``."""
+    """A versioned table at ``path``.
+
+    ``keyed_partitions``: the partition columns follow from the keys of an upsert (as a window's day from its start), so
+    that a row and the one it replaces lie in one partition.
+    """
 
     spark: SparkSession
     path: str
     partition_by: Sequence[str] = ()
+    keyed_partitions: bool = False
 
     @property
     def files(self) -> Files:
@@ -90,37 +97,74 @@ class Table:
         files = self.files
         return files.read(f"{self.path}/{POINTER}").strip() if files.exists(f"{self.path}/{POINTER}") else None
 
-    def read(self) -> DataFrame:
+    def _manifest(self) -> dict | None:
         version = self.current()
-        if version is None:
+        return json.loads(self.files.read(f"{self.path}/_manifests/{version}.json")) if version is not None else None
+
+    def _open(self, manifest: dict, only: Sequence[str] | None = None) -> DataFrame:
+        """The rows of a manifest's partitions, or of those named in ``only``."""
+        schema = StructType.fromJson(manifest["schema"])
+        folders = [f"{self.path}/{v}/{p}".rstrip("/") for p, v in manifest["partitions"].items() if only is None or p in only]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(StructType([*schema.fields, StructField(VERSION, StringType())])) if self.partition_by else self.spark.read.schema(schema)
+        out = reader.option("basePath", self.path).parquet(*folders) if self.partition_by else reader.parquet(*folders)
+        return out.select(*schema.names)
+
+    def read(self) -> DataFrame:
+        manifest = self._manifest()
+        if manifest is None:
             raise FileNotFoundError(f"{self.path} has no published version")
-        return self.spark.read.parquet(f"{self.path}/{version}")
+        return self._open(manifest)
 
-    def stage(self, df: DataFrame) -> str:
-        version = f"v={uuid.uuid4().hex}"
+    def _stage(self, df: DataFrame) -> dict:
+        """Write ``df`` to a folder of its own; the manifest of what it holds."""
+        version = f"{VERSION}={uuid.uuid4().hex}"
         writer = df.write.option("compression", "zstd")
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(f"{self.path}/{version}")
-        return version
+        found = [""]
+        for _ in self.partition_by:
+            found = [f"{p}/{d}".lstrip("/") for p in found for d in self.files.list(f"{self.path}/{version}/{p}") if "=" in d]
+        return {"schema": df.schema.jsonValue(), "partitions": dict.fromkeys(found, version)}
+
+    def _name(self, manifest: dict) -> None:
+        version = uuid.uuid4().hex
+        self.files.write(f"{self.path}/_manifests/{version}.json", json.dumps(manifest))
+        self.files.write(f"{self.path}/{POINTER}", version)
 
     def publish(self, df: DataFrame, audit: Callable[[DataFrame], None] | None = None) -> DataFrame:
-        """Write, audit what was written, then point readers to it. If ``audit`` raises, the table is as before and the
-        staged version stays for inspection."""
-        version = self.stage(df)
-        staged = self.spark.read.parquet(f"{self.path}/{version}")
+        """Write, audit what was written, then point readers to it. If ``audit`` raises, the table is as before and what was
+        staged stays for inspection."""
+        manifest = self._stage(df)
+        staged = self._open(manifest)
         if audit is not None:
             audit(staged)
-        self.files.write(f"{self.path}/{POINTER}", version)
+        self._name(manifest)
         return staged
 
     def upsert(self, rows: DataFrame, keys: Sequence[str], batch_id: int | str | None = None, audit: Callable[[DataFrame], None] | None = None) -> DataFrame:
-        """Rows of ``rows`` replace those with equal keys. A batch whose id was the last one applied is not applied again."""
+        """Rows of ``rows`` replace those with equal keys. A batch whose id was the last one applied is not applied again.
+
+        With ``keyed_partitions`` only the partitions that ``rows`` falls into are read and written anew.
+        """
         files, mark = self.files, f"{self.path}/_LAST_BATCH"
         if batch_id is not None and files.exists(mark) and files.read(mark) == str(batch_id):
             return self.read()
-        if self.current() is not None:
-            old = self.read()
+        manifest, kept = self._manifest(), {}
+        if manifest is not None:
+            old, only = self._open(manifest), None
+            if self.keyed_partitions and self.partition_by:
+                fresh = self._stage(rows)  # its folders name the partitions
+                rows, only = self._open(fresh), set(fresh["partitions"])
+                kept = {p: v for p, v in manifest["partitions"].items() if p not in only}
+                old = self._open(manifest, only)
             rows = old.join(rows, [old[k].eqNullSafe(rows[k]) for k in keys], "left_anti").unionByName(rows)
-        out = self.publish(rows, audit)
+        merged = self._stage(rows)
+        merged["partitions"] = kept | merged["partitions"]
+        out = self._open(merged)
+        if audit is not None:
+            audit(out)
+        self._name(merged)
         if batch_id is not None:
             files.write(mark, str(batch_id))
         return out
