@@ -32,6 +32,8 @@ WORD = re.compile(r"[a-z0-9]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
+#: Parts that leave no gap in the line they stand in.
+UNBROKEN = frozenset("script style noscript template button select input textarea svg math iframe object audio video canvas br".split()) | INLINE
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre br hr".split())
 #: An opening tag ends those open elements of its set, up to the nearest element of the second.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -61,7 +63,7 @@ def parse(page: str) -> Node:
         at = m.end()
         if m[2]:
             tag = m[2].lower()
-            if tag not in INLINE and tag not in ("br", "button"):
+            if tag not in UNBROKEN:
                 node = _close(node, {"p"}, {"td", "th", "button", "table"})
             if tag in ENDS:
                 node = _close(node, *ENDS[tag])
@@ -182,7 +184,7 @@ def _blocks(root: Node, gone: set[int]) -> tuple[bool, list[str]]:
                 buffer.append(x)
         elif kind == "in":
             if closed or id(x) in gone or shut(x, article > 0) and not (x.main and x.tag not in ("article",) and x.tag not in SHUT):
-                if not closed and x.tag not in INLINE:
+                if not closed and x.tag not in UNBROKEN:
                     flush()
                 closed += 1
                 continue
