@@ -6,14 +6,15 @@ import argparse
 import json
 import os
 import sys
+from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from . import session
-from .contracts import enforce, load_contracts
+from .contracts import enforce, load_contracts, results_frame, summarize, validate, write_report
 from .operators import conform, kpis, parity, scoring
-from .sources import feeds
+from .sources import download, feeds
 from .sources.tables import Table, export, reconcile
 from .streaming import events
 
@@ -49,8 +50,9 @@ def silver(spark: SparkSession, args: argparse.Namespace) -> None:
         conform.check_budget(classified, args.reject_budget)
         good, bad = conform.split(classified)
         good = conform.enrich(conform.keep_latest(good, ["trans_num"], ["ingested_at", "batch_id"]), ref, "category")
-        _table(spark, args, "silver/transactions").publish(good, _audit(args, "silver_transactions"))
-        _table(spark, args, "silver/transactions_quarantine").publish(bad)
+        good = good.withColumn("merch_zipcode", F.col("merch_zipcode").cast("int"))
+        _table(spark, args, "silver/transactions").publish(good.select(*conform.SILVER), _audit(args, "silver_transactions"))
+        _table(spark, args, "silver/transactions_quarantine").publish(bad.select(*conform.QUARANTINE))
         _table(spark, args, "silver/dim_category").publish(ref, _audit(args, "silver_dim_category"))
     finally:
         classified.unpersist()
@@ -127,7 +129,24 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
         step(spark, args)
 
 
-COMMANDS = {"bronze": bronze, "silver": silver, "gold": gold, "export": export_all, "batch": batch, "produce": produce, "consume": consume, "train": train, "score-stream": score_stream, "stream-check": stream_check, "contracts": contracts}
+def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(json.dumps(download.fetch_all(json.loads(args.urls), args.input, args.force), indent=1))
+
+
+def summary(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Validate every published table that has a contract, and sum up."""
+    reports = []
+    for c in load_contracts(args.contracts).values():
+        layer, _, name = c.dataset.partition(".")
+        table = _table(spark, args, f"{layer}/{name}")
+        if table.current() is not None:
+            reports.append(validate(table.read(), replace(c, mode="warn"), examples=0))
+            write_report(reports[-1], args.reports)
+    for row in summarize(results_frame(spark, reports)).orderBy("contract").collect():
+        print(json.dumps(row.asDict()))
+
+
+COMMANDS = {"ingest": ingest, "summary": summary, "bronze": bronze, "silver": silver, "gold": gold, "export": export_all, "batch": batch, "produce": produce, "consume": consume, "train": train, "score-stream": score_stream, "stream-check": stream_check, "contracts": contracts}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -142,6 +161,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--topic", default="transactions")
     p.add_argument("--seconds", type=float, default=120)
     p.add_argument("--minutes", type=float, default=10)
+    p.add_argument("--urls", default="{}", help="JSON of file names and addresses to download")
+    p.add_argument("--force", action="store_true", help="download again what is there")
+    p.add_argument("--reports", default="reports", help="folder of contract reports")
     p.add_argument("--once", action="store_true", help="take what is there, then end")
     args = p.parse_args(argv)
     COMMANDS[args.command](session.create(), args)

@@ -91,7 +91,7 @@ def contract_from(data: dict[str, Any]) -> Contract:
 def load_contract(path: str | Path) -> Contract:
     import yaml
 
-    return contract_from(expand(yaml.safe_load(Path(path).read_text())))
+    return contract_from(yaml.safe_load(expand(Path(path).read_text())))  # expanded first, so that numbers are numbers
 
 
 def load_contracts(folder: str | Path) -> dict[str, Contract]:

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import age_years, card_hash, card_last4, day, haversine_km, reject_reason
 from ..sources.feeds import renamed
 
+# The published columns in their order.
+SILVER = (
+    "trans_num", "trans_time", "trans_date", "trans_hour", "unix_time", "cc_num_last4", "cc_num_hash", "merchant", "category", "channel", "amt", "gender", "city", "state", "zip", "city_pop", "job", "cardholder_age",
+    "merch_lat", "merch_long", "distance_km", "is_fraud", "merch_zipcode", "source_file", "source_split", "batch_id", "ingested_at",
+)
+QUARANTINE = ("trans_num", "reject_reason", "trans_time", "amt", "category", "source_file", "batch_id", "ingested_at")
 PERSONAL = ("first", "last", "street", "lat", "long", "dob", "cc_num")
 
 

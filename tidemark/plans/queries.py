@@ -375,6 +375,43 @@ def _a29(spark, sf_dir):
 # ---- ranked reports, where the limit is the feature
 
 
+@query("l01_category_headline", f"{q.WITH} SELECT category, {q.SUMS}, {q.mean()} AS avg_amt, {q.ratio('sum(is_fraud)', 'count(*)')} AS fraud_rate FROM tx GROUP BY 1")
+def _l01(spark, sf_dir):
+    return kpis.rollup(tx(spark, sf_dir), "category", average=True).orderBy(F.desc("txns"), "category")
+
+
+@query("l02_top_categories", f"{q.WITH} SELECT category, {q.COUNT} FROM tx GROUP BY 1 ORDER BY txns DESC, category LIMIT 3")
+def _l02(spark, sf_dir):
+    return kpis.top(tx(spark, sf_dir).groupBy("category").agg(F.count("*").alias("txns")), 3, F.desc("txns"), "category")
+
+
+@query("p18_staging_views", f"{q.WITH}, {q.HOURLY} SELECT CAST(h.trans_hour_ts AS DATE) AS day, h.category, c.n AS days_with_any, CAST(sum(h.txns) AS BIGINT) AS txns FROM hourly h JOIN (SELECT category, count(DISTINCT CAST(trans_hour_ts AS DATE)) AS n FROM hourly GROUP BY 1) c USING (category) GROUP BY ALL")
+def _staging(spark, sf_dir):
+    """Marts as Spark SQL over named views of the published tables."""
+    kpis.category_hourly_fraud(tx(spark, sf_dir)).createOrReplaceTempView("stg_category_hourly")
+    return spark.sql(
+        "SELECT to_date(h.trans_hour_ts) AS day, h.category, c.n AS days_with_any, sum(h.txns) AS txns FROM stg_category_hourly h"
+        " JOIN (SELECT category, count(DISTINCT to_date(trans_hour_ts)) AS n FROM stg_category_hourly GROUP BY category) c ON h.category = c.category GROUP BY 1, 2, 3"
+    )
+
+
+@query("a12_contract_tests", f"{q.WITH}, {q.HOURLY} SELECT 'hourly' AS contract, CAST(4 AS BIGINT) AS checks, CAST(0 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS warnings, 'PASSED' AS status WHERE (SELECT count(*) FROM hourly) > 0")
+def _warehouse_tests(spark, sf_dir):
+    """Grain, ranges and positive counts of a mart, as contract checks."""
+    c = contract_from_dict(
+        {
+            "name": "hourly",
+            "checks": [
+                {"type": "unique_combination", "columns": ["trans_hour_ts", "category"]},
+                {"type": "positive_values", "column": "txns"},
+                {"type": "fraction_range", "column": "fraud_rate"},
+                {"type": "not_null", "columns": ["trans_hour_ts", "category"]},
+            ],
+        }
+    )
+    return summarize(results_frame(spark, [validate(kpis.category_hourly_fraud(tx(spark, sf_dir)), c)]))
+
+
 @query("l03_top_merchants", f"{q.WITH} SELECT merchant, category, {q.SUMS}, {q.ratio('sum(is_fraud)', 'count(*)')} AS fraud_rate FROM tx GROUP BY 1, 2 HAVING count(*) >= 20 ORDER BY fraud_rate DESC, txns DESC, merchant, category LIMIT 12")
 def _l03(spark, sf_dir):
     return kpis.top(kpis.merchant_risk(tx(spark, sf_dir)), 12, F.desc("fraud_rate"), F.desc("txns"), "merchant", "category")

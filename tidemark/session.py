@@ -22,3 +22,15 @@ def utc(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def object_store(endpoint: str, access_key: str, secret_key: str, path_style: bool = True) -> dict[str, str]:
+    """Settings for tables in a store that speaks S3; needs Hadoop's AWS package on the class path."""
+    base = "spark.hadoop.fs.s3a."
+    return {
+        f"{base}endpoint": endpoint,
+        f"{base}access.key": access_key,
+        f"{base}secret.key": secret_key,
+        f"{base}path.style.access": str(path_style).lower(),
+        f"{base}connection.ssl.enabled": str(endpoint.startswith("https")).lower(),
+    }

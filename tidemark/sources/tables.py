@@ -212,3 +212,15 @@ def reconcile(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
 def write_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header: for extracts of bounded size."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_warehouse(df: DataFrame, url: str, table: str, **options: str) -> int:
+    """Replace a table of a warehouse through JDBC, and compare what it then holds with what was sent; needs its driver."""
+    from pyspark.sql import Observation
+
+    seen = Observation(f"jdbc-{uuid.uuid4().hex[:8]}")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format("jdbc").options(url=url, dbtable=table, truncate="true", **options).mode("overwrite").save()
+    held = df.sparkSession.read.format("jdbc").options(url=url, dbtable=table, **options).load().count()
+    if held != seen.get["n"]:
+        raise AuditError(f"{table} holds {held} rows of {seen.get['n']}")
+    return held
