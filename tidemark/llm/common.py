@@ -63,6 +63,48 @@ def text_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES, carry: bool =
     return docs.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n)).cast("int").alias("batch"), *docs.columns)
 
 
+BLOB_BYTES = 16 << 20
+DOC = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+
+
+def blob_batches(docs: DataFrame, batch_bytes: int) -> DataFrame:
+    """(batch, blob): like text_batches, but documents of one batch that a task meets lie together in a compressed blob.
+
+    Texts shuffled this way take about half the bytes that they take as rows.
+    """
+    batched = text_batches(docs, batch_bytes)
+
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            table = pa.concat_tables(held)
+            batch = table["batch"].to_numpy()
+            out = []
+            for b in np.unique(batch):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, DOC, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_table(table.select(["doc_id", "text"]).take(np.flatnonzero(batch == b)).cast(DOC).combine_chunks())
+                out.append((int(b), sink.getvalue().to_pybytes()))
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["batch", "blob"])
+
+        for b in batches:
+            held.append(pa.Table.from_batches([b]))
+            size += b.nbytes
+            if size >= BLOB_BYTES:
+                yield flush()
+                held, size = [], 0
+        if size:
+            yield flush()
+
+    return batched.mapInArrow(run, "batch int, blob binary")
+
+
+def of_blobs(blobs: pa.ChunkedArray) -> pa.Table:
+    """The documents (doc_id, text) of one batch's blobs."""
+    return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in blobs.to_pylist()] or [DOC.empty_table()])
+
+
 def sorted_rows(table: pa.Table) -> tuple[np.ndarray, list, list[int]]:
     """doc_ids (null: LAST_ID) and texts (null: None) of a batch in an order that depends on the rows alone, and that order."""
     ids = np.array([LAST_ID if x is None else x for x in table["doc_id"].to_pylist()], np.int64)

@@ -7,7 +7,7 @@ from take no part below. An unseen context escapes for free; below order 0 the 2
 its lower-cased words, each followed by a space, and an end byte; its score is the log10 probability of those bytes, the
 sum over its (context, symbol) grams.
 
-Documents lie in batches of fixed size in bytes. A batch sends its different grams and words once to the buckets of
+Documents lie in batches of a fixed size in bytes and are read in smaller chunks. A batch sends its different grams and words once to the buckets of
 their hashes, sorted and packed, with their counts in training texts; buckets sum the counts, which makes the model's
 tables. Those are joined in Spark, order by order, into a probability for every gram of the corpus; buckets send a
 batch the values of its own grams, and the batch sums them by document. No task holds the model, whatever its size.
@@ -27,10 +27,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import LAST_ID, WordHashes, materialize, pack, pack_sorted, sorted_rows, text_batches, unpack, unpack_sorted
+from .common import LAST_ID, WordHashes, blob_batches, materialize, of_blobs, pack, pack_sorted, sorted_rows, unpack, unpack_sorted
 
 #: Bytes of context, folds of which the first is held out, and text bytes of the table for each bucket.
 ORDER, FOLDS, BUCKET_BYTES = 5, 10, 4 << 20
+#: Text bytes of a batch, and those that are turned into grams at once.
+BATCH_BYTES, CHUNK_BYTES = 32 << 20, 2 << 20
 END, SPACE, PAD = 10, 32, 0
 ALPHA = 0.1
 END_WORD = b"\n"
@@ -61,22 +63,39 @@ def held_out(ids: list[int | None], folds: int = FOLDS) -> np.ndarray:
 
 
 class Texts:
+    """The documents of a batch, in chunks: their grams and word hashes, document by document."""
+
     def __init__(self, table: pa.Table, order: int):
-        self.ids, texts, _ = sorted_rows(table)
+        self.order = order
+        self.ids, self.texts, _ = sorted_rows(table)
         self.held = held_out([None if i == LAST_ID else i for i in self.ids.tolist()])
-        hashes, data, words = WordHashes(), [], []
-        end = np.array([hashes[END_WORD]], np.uint64)
+        self.hashes = WordHashes()
+
+    def chunks(self):
+        """(documents as a slice, {kind: (values, sizes)})."""
+        at, size = 0, 0
+        for k, t in enumerate(self.texts):
+            size += len(t or "")
+            if size >= CHUNK_BYTES or k + 1 == len(self.texts):
+                yield slice(at, k + 1), self._read(self.texts[at : k + 1])
+                at, size = k + 1, 0
+
+    def _read(self, texts: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        end = np.array([self.hashes[END_WORD]], np.uint64)
+        data, words, sizes = [], [], []
         for t in texts:
             b, w = symbols(t)
-            data.append(grams(b, order))
-            words += [hashes.of(w), end]
-        self.gram_sizes = np.array([len(d) for d in data], np.int64)
-        self.word_sizes = np.array([len(words[k]) + 1 for k in range(0, len(words), 2)], np.int64)
-        self.grams = np.concatenate([*data, np.empty(0, np.uint64)])
-        self.words = np.concatenate([*words, np.empty(0, np.uint64)])
+            data.append(grams(b, self.order))
+            words += [self.hashes.of(w), end]
+            sizes.append(len(w) + 1)
+        return {GRAMS: (np.concatenate(data), np.array([len(d) for d in data])), WORDS: (np.concatenate(words), np.array(sizes))}
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each value the place of its like among the different values, and those."""
+    import pandas as pd
 
-    def of(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
-        return (self.grams, self.gram_sizes) if kind == GRAMS else (self.words, self.word_sizes)
+    return pd.factorize(values)
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -86,17 +105,19 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
 
 def _send(order: int, buckets: int) -> Callable:
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        texts, out = Texts(table, order), []
-        for kind in (GRAMS, WORDS):
-            h, sizes = texts.of(kind)
-            train = h[np.repeat(~texts.held, sizes)]
-            test = h[np.repeat(texts.held, sizes)]
-            value, count = np.unique(train, return_counts=True)
-            more = np.setdiff1d(test, value)
-            value, count = np.concatenate([value, more]), np.concatenate([count, np.zeros(len(more), np.int64)])
+        texts, out = Texts(of_blobs(table["blob"]), order), []
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {GRAMS: [], WORDS: []}
+        for docs, read in texts.chunks():
+            for kind, (h, sizes) in read.items():
+                code, value = distinct(h)
+                found[kind].append((value, np.bincount(code, np.repeat(~texts.held[docs], sizes), len(value)).astype(np.int64)))
+        for kind, parts in found.items():
+            value, count = np.concatenate([v for v, _ in parts]), np.concatenate([c for _, c in parts])
+            code, value = distinct(value)
+            count = np.bincount(code, count, len(value)).astype(np.uint32)
             to = bucket_of(value, buckets)
             by = np.lexsort((value, to))
-            value, count, to = value[by], count[by].astype(np.uint32), to[by]
+            value, count, to = value[by], count[by], to[by]
             at = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
             for a, b in zip(at, np.append(at[1:], len(to)), strict=True):
                 out.append((int(to[a]), key[0].as_py(), kind, int(b - a), pack_sorted(value[a:b]), pack(count[a:b])))
@@ -154,59 +175,67 @@ def probabilities(counted: DataFrame, order: int = ORDER) -> DataFrame:
     return done.union(last)
 
 
-def _answer(key: tuple, sent: pa.Table, known: pa.Table) -> pa.Table:
-    """Of one bucket: to each batch the values of what it sent, in the order it sent it."""
-    h = known["h"].to_numpy().view(np.uint64)
-    by = np.argsort(h)
-    h, x = h[by], known["x"].to_numpy()[by]
-    values = [pack(x[np.searchsorted(h, unpack_sorted(b, n, np.uint64))]) for n, b in zip(sent["n"].to_pylist(), sent["h"].to_pylist(), strict=True)]
-    return pa.table({"batch": sent["batch"], "kind": sent["kind"], "n": sent["n"], "h": sent["h"], "x": pa.array(values, pa.binary())})
+def _answer(kind: int) -> Callable:
+    """Of one bucket: to each batch the values of what it sent, in the order it sent it: single-precision logarithms for
+    grams, whole counts for words."""
+
+    def run(key: tuple, sent: pa.Table, known: pa.Table) -> pa.Table:
+        h = known["h"].to_numpy().view(np.uint64)
+        by = np.argsort(h)
+        h, x = h[by], known["x"].to_numpy()[by].astype(VALUE[kind])
+        values = [pack(x[np.searchsorted(h, unpack_sorted(b, n, np.uint64))]) for n, b in zip(sent["n"].to_pylist(), sent["h"].to_pylist(), strict=True)]
+        return pa.table({"batch": sent["batch"], "kind": sent["kind"], "n": sent["n"], "h": sent["h"], "x": pa.array(values, pa.binary())})
+
+    return run
+
+
+VALUE = {GRAMS: np.float32, WORDS: np.uint64}
 
 
 def _score(order: int, tokens: int, kinds: int) -> Callable:
     def run(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
-        texts = Texts(table, order)
-        sums: dict[int, np.ndarray] = {}
-        kind_of = np.array(known["kind"].to_pylist())
-        rows = list(zip(known["n"].to_pylist(), known["h"].to_pylist(), known["x"].to_pylist(), strict=True))
-        seen = None
+        texts = Texts(of_blobs(table["blob"]), order)
+        values: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        kind_of = known["kind"].to_numpy()
         for kind in (GRAMS, WORDS):
-            own = [r for r, k in zip(rows, kind_of.tolist(), strict=True) if k == kind]
-            h = np.concatenate([unpack_sorted(b, n, np.uint64) for n, b, _ in own])
-            x = np.concatenate([unpack(b, n, np.float64) for n, _, b in own])
+            own = known.filter(pa.array(kind_of == kind))
+            n = own["n"].to_pylist()
+            h = np.concatenate([unpack_sorted(b, k, np.uint64) for b, k in zip(own["h"].to_pylist(), n, strict=True)])
+            x = np.concatenate([unpack(b, k, VALUE[kind]) for b, k in zip(own["x"].to_pylist(), n, strict=True)])
             by = np.argsort(h)
-            h, x = h[by], x[by]
-            all_h, sizes = texts.of(kind)
-            first = np.cumsum(sizes) - sizes
-            if kind == WORDS:
-                count = x
-                x = np.log10((count + ALPHA) / (tokens + ALPHA * (kinds + 1)))
-            value = np.empty(len(all_h))
-            for a in range(0, len(all_h), 1 << 20):
-                at = np.searchsorted(h, all_h[a : a + (1 << 20)])
-                value[a : a + (1 << 20)] = x[at]
-            sums[kind] = np.add.reduceat(value, first)
-            if kind == WORDS:
-                seen = np.add.reduceat((count[np.searchsorted(h, all_h)] > 0).astype(np.int64), first)
-        n = len(texts.ids)
-        return pa.table({"doc_id": pa.array([None if i == LAST_ID else i for i in texts.ids.tolist()], pa.int64()), "held_out": pa.array(texts.held), "n_tokens": pa.array(texts.word_sizes), "n_known": pa.array(seen), "train_tokens": pa.array(np.full(n, tokens, np.int64)), "base_score": pa.array(sums[WORDS]), "score": pa.array(sums[GRAMS])})
+            values[kind] = h[by], x[by].astype(np.float64)
+        sums, base, seen, sizes = [], [], [], []
+        for _, read in texts.chunks():
+            for kind, (all_h, size) in read.items():
+                h, x = values[kind]
+                code, value = distinct(all_h)
+                x = x[np.searchsorted(h, value)]
+                first = np.cumsum(size) - size
+                if kind == GRAMS:
+                    sums.append(np.add.reduceat(x[code], first))
+                else:
+                    base.append(np.add.reduceat(np.log10((x + ALPHA) / (tokens + ALPHA * (kinds + 1)))[code], first))
+                    seen.append(np.add.reduceat((x > 0).astype(np.int64)[code], first))
+                    sizes.append(size)
+        ids = [None if i == LAST_ID else i for i in texts.ids.tolist()]
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(texts.held), "n_tokens": pa.array(np.concatenate(sizes).astype(np.int64)), "n_known": pa.array(np.concatenate(seen)), "train_tokens": pa.array(np.full(len(ids), tokens, np.int64)), "base_score": pa.array(np.concatenate(base)), "score": pa.array(np.concatenate(sums))})
 
     return run
 
 
-def lm_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = ORDER, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Scores of every row under the model of the rows that aren't held out."""
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = max(8, math.ceil(total / BUCKET_BYTES))
-    by_batch = text_batches(docs).groupBy("batch")
+    by_batch = blob_batches(docs, batch_bytes).groupBy("batch")
     sent = materialize(by_batch.applyInArrow(_send(order, buckets), SENT_SQL), "sent")
     counted = {k: materialize(sent.where(F.col("kind") == k).groupBy("bucket").applyInArrow(_count(k), "bucket int, h long, c long"), f"counted{k}") for k in (GRAMS, WORDS)}
     n, v = counted[WORDS].agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     n, v = n or 0, v or 0
-    values = {GRAMS: probabilities(counted[GRAMS], order), WORDS: counted[WORDS].select("bucket", "h", F.col("c").cast("double").alias("x"))}
+    values = {GRAMS: probabilities(counted[GRAMS], order), WORDS: counted[WORDS].select("bucket", "h", F.col("c").alias("x"))}
     known = None
     for k, x in values.items():
-        part = sent.where(F.col("kind") == k).groupBy("bucket").cogroup(x.groupBy("bucket")).applyInArrow(_answer, "batch int, kind byte, n long, h binary, x binary")
+        part = sent.where(F.col("kind") == k).groupBy("bucket").cogroup(x.groupBy("bucket")).applyInArrow(_answer(k), "batch int, kind byte, n long, h binary, x binary")
         known = part if known is None else known.union(part)
     return by_batch.cogroup(known.groupBy("batch")).applyInArrow(_score(order, n, v), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
