@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from .common import materialize
 
-#: Blocks of one size class in a shard; with the size classes (4 to a power of 2) they bound a shard's block table.
-SUB_BLOCKS = 64
+#: Blocks of one size class in a shard, and of a shard without size classes. With the classes (4 to a power of 2) they
+#: bound a shard's block table.
+SUB_BLOCKS, MIXED_BLOCKS = 64, 1024
 
 
 def min_cost_flow(supply: Sequence[int], demand: Sequence[int], cost: Sequence[Sequence[int]]) -> dict[tuple[int, int], int]:
@@ -93,10 +94,11 @@ def transfers(sizes: Sequence[int], room: Sequence[int]) -> dict[tuple[int, int]
     return min_cost_flow(sizes, room, cost)
 
 
-def _round(rows: DataFrame, sizes: list[int], room: list[int]) -> DataFrame:
+def _round(rows: DataFrame, sizes: list[int], room: list[int], mixed: bool) -> DataFrame:
     """One application of the flow: rows keep or change ``shard``.
 
-    A shard sends its largest rows that are not larger than what it has to send, from large to small, each to the
+    ``mixed``: a shard sends rows of all sizes, as their hashes come, so that every shard has small ones for later.
+    Otherwise it sends its largest rows that are not larger than what it has to send, from large to small, each to the
     transfer into which its bytes end; rows that would end beyond the last transfer stay. What is left over is less
     than a row, and a later round sends it in smaller rows.
     """
@@ -115,11 +117,12 @@ def _round(rows: DataFrame, sizes: list[int], room: list[int]) -> DataFrame:
     edge = F.broadcast(spark.createDataFrame(edges, "shard int, lo long, hi long, dest int"))
     limit = F.broadcast(spark.createDataFrame(surplus, "shard int, surplus long, home int"))
     block = ["shard", "class", "sub"]
-    rows = rows.join(limit, "shard").withColumn("class", -F.floor(F.log2(F.col("size").cast("double")) * 4).cast("int")).withColumn("sub", F.pmod(F.col("row_hash"), F.lit(SUB_BLOCKS)).cast("int"))
+    size_class = F.lit(0) if mixed else -F.floor(F.log2(F.col("size").cast("double")) * 4).cast("int")
+    rows = rows.join(limit, "shard").withColumn("class", size_class).withColumn("sub", F.pmod(F.col("row_hash"), F.lit(MIXED_BLOCKS if mixed else SUB_BLOCKS)).cast("int"))
     may = rows.where(F.col("size") <= F.col("surplus"))
     stats = may.groupBy(*block).agg(F.sum("size").alias("block_bytes"))
     starts = stats.select(*block, (F.sum("block_bytes").over(W.partitionBy("shard").orderBy("class", "sub")) - F.col("block_bytes")).alias("before"))
-    within = W.partitionBy(*block).orderBy(F.desc("size"), "row_hash", "doc_id").rowsBetween(W.unboundedPreceding, 0)
+    within = W.partitionBy(*block).orderBy(*([] if mixed else [F.desc("size")]), "row_hash", "doc_id").rowsBetween(W.unboundedPreceding, 0)
     placed = may.join(starts, block).withColumn("end", F.col("before") + F.sum("size").over(within)).join(edge, "shard")
     placed = placed.where((F.col("end") > F.col("lo")) & (F.col("end") <= F.col("hi")))
     kept = ["doc_id", "size", "text_crc32", "row_hash"]
@@ -131,7 +134,7 @@ def _sizes(rows: DataFrame, n: int) -> tuple[list[int], list[int]]:
     return [found[i]["b"] if i in found else 0 for i in range(n)], [found[i]["m"] if i in found else 0 for i in range(n)]
 
 
-def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, rounds: int = 6) -> DataFrame:
+def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, rounds: int = 7) -> DataFrame:
     """(doc_id, size, text_crc32, row_hash, old_shard's successor ``shard``, slot) of every row of ``docs``.
 
     ``old_shard`` gives the shard, 0 to n_old - 1, in which a row lies now. Sizes of the new shards differ by about
@@ -141,7 +144,7 @@ def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, rounds:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), F.xxhash64("doc_id", "text").alias("row_hash"), old_shard.cast("int").alias("shard"))
     rows = materialize(rows, "rows")
     n = n_old
-    for _ in range(rounds):
+    for k in range(rounds):
         sizes, largest = _sizes(rows, n)
         if n == n_new:
             room = capacities(sum(sizes), largest)
@@ -149,7 +152,7 @@ def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, rounds:
                 break
         else:
             room = capacities(sum(sizes), [0] * n_new)
-        rows, n = materialize(_round(rows, sizes, room), "round"), n_new
+        rows, n = materialize(_round(rows, sizes, room, k == 0), "round"), n_new
     part = F.pmod(F.shiftright("row_hash", 8), F.lit(256)).cast("int")
     rows = rows.withColumn("part", part)
     counts = rows.groupBy("shard", "part").agg(F.count("*").alias("c"))
