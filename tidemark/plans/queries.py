@@ -33,10 +33,9 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return put
 
 
-def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conformed transactions without rejects; the adapted feed has none."""
-    out = conform.conform(feeds.transactions(spark, sf_dir), q.SALT)
-    return out
+def tx(spark: SparkSession, sf_dir: str, state: bool = False) -> DataFrame:
+    """Conformed transactions without rejects; the adapted feed has none. The state is joined on where it is asked for."""
+    return conform.conform(feeds.transactions(spark, sf_dir, state), q.SALT)
 
 
 # ---- sources and sinks
@@ -56,7 +55,7 @@ def _csv(spark, sf_dir):
 
 @query("s05_lineage_union", f"WITH {q.FEED} SELECT source_split AS source_file, source_split, 'b1' AS batch_id, {q.COUNT}, {q.total()} AS total_amt FROM feed GROUP BY source_split")
 def _lineage(spark, sf_dir):
-    feed = feeds.transactions(spark, sf_dir)
+    feed = feeds.transactions(spark, sf_dir, False)
     parts = [feeds.with_lineage(feed.where(F.col("source_split") == s), s, s, "b1") for s in ("train", "test")]
     return parts[0].unionByName(parts[1]).groupBy("source_file", "source_split", "batch_id").agg(F.count("*").alias("txns"), kpis.exact_sum("amt").alias("total_amt"))
 
@@ -68,7 +67,7 @@ def _lineage(spark, sf_dir):
 def _overwrite(spark, sf_dir):
     """All days written, then odd days overwritten by their even ids: even days stay as they were."""
     path = workdir(spark)
-    days = feeds.transactions(spark, sf_dir).select("event_id", F.to_date("trans_time").alias("d"))
+    days = feeds.transactions(spark, sf_dir, False).select("event_id", F.to_date("trans_time").alias("d"))
     overwrite_partitions(days, path, ["d"])
     overwrite_partitions(days.where((F.dayofmonth("d") % 2 == 1) & (F.col("event_id") % 2 == 0)), path, ["d"])
     return spark.read.parquet(path).groupBy("d").agg(F.count("*").alias("txns"))
@@ -80,7 +79,7 @@ def _wap(spark, sf_dir):
     from ..contracts import ContractViolation
 
     table = Table(spark, workdir(spark))
-    feed = feeds.transactions(spark, sf_dir).select("trans_num", "category", "amt")
+    feed = feeds.transactions(spark, sf_dir, False).select("trans_num", "category", "amt")
     contract = contract_from_dict({"name": "feed", "checks": [{"type": "accepted_range", "column": "amt", "min": 0.0}]})
     table.publish(feed, lambda df: validate(df, contract))
     try:
@@ -116,7 +115,7 @@ def _json(spark, sf_dir):
 @query("s16_replay_identity", "SELECT 'all' AS what, count(*) AS events FROM events")
 def _replay(spark, sf_dir):
     """Replayed events without redeliveries: as many as transactions, whichever are late."""
-    sent = stream.replay(feeds.transactions(spark, sf_dir))
+    sent = stream.replay(feeds.transactions(spark, sf_dir, False))
     return sent.where("not redelivery").groupBy(F.lit("all").alias("what")).agg(F.count_distinct("trans_num").alias("events"))
 
 
@@ -127,7 +126,7 @@ def _replay(spark, sf_dir):
 def _upsert(spark, sf_dir):
     """A table, then a batch that changes and adds rows, then the same batch again."""
     table = Table(spark, workdir(spark))
-    feed = feeds.transactions(spark, sf_dir).select("event_id", "category", "amt")
+    feed = feeds.transactions(spark, sf_dir, False).select("event_id", "category", "amt")
     table.upsert(feed.where("event_id % 5 <> 1"), ["event_id"], 0)
     for _ in range(2):
         table.upsert(feed.where("event_id % 2 = 0").withColumn("amt", F.col("amt") + 1), ["event_id"], 1)
@@ -143,7 +142,7 @@ def _upsert(spark, sf_dir):
     merchant, category, amt, state, is_fraud, merch_zipcode FROM tx""",
 )
 def _conform(spark, sf_dir):
-    return tx(spark, sf_dir).select("trans_num", "trans_time", "trans_date", "trans_hour", "cc_num_last4", "cc_num_hash", "distance_km", "merchant", "category", "amt", "state", "is_fraud", "merch_zipcode")
+    return tx(spark, sf_dir, state=True).select("trans_num", "trans_time", "trans_date", "trans_hour", "cc_num_last4", "cc_num_hash", "distance_km", "merchant", "category", "amt", "state", "is_fraud", "merch_zipcode")
 
 
 @query("p04_age", f"""WITH {q.FEED} SELECT trans_num, CAST(date_diff('year', dob, CAST(trans_time AS DATE)) - CASE WHEN month(trans_time) < month(dob) OR (month(trans_time) = month(dob)
@@ -175,14 +174,14 @@ def _seconds(spark, sf_dir):
 
 @query("p25_fourier_terms", f"WITH {q.FEED}, d AS (SELECT DISTINCT CAST(trans_time AS DATE) AS day FROM feed) SELECT day, " + ", ".join(f"{q.r(f'{f}(2.0::DOUBLE * pi() * {k} * (day - DATE {chr(39)}1970-01-01{chr(39)}) / 365.25)', 6)} AS {n}{k}" for k in range(1, 6) for f, n in (("sin", "s"), ("cos", "c"))) + " FROM d")
 def _fourier(spark, sf_dir):
-    d = feeds.transactions(spark, sf_dir).select(F.to_date("trans_time").alias("day")).distinct()
+    d = feeds.transactions(spark, sf_dir, False).select(F.to_date("trans_time").alias("day")).distinct()
     terms = d.select("day", *fourier_terms(F.unix_date("day"), 5))
     return terms.select("day", *(exact_round(c, 6).alias(c) for c in terms.columns[1:]))
 
 
 @query("p30_display", f"WITH {q.FEED} SELECT DISTINCT merchant, replace(merchant, 'fraud_', '') AS merchant_name FROM feed")
 def _display(spark, sf_dir):
-    return feeds.transactions(spark, sf_dir).select("merchant", strip_prefix("merchant", "fraud_").alias("merchant_name")).distinct()
+    return feeds.transactions(spark, sf_dir, False).select("merchant", strip_prefix("merchant", "fraud_").alias("merchant_name")).distinct()
 
 
 @query(
@@ -198,7 +197,7 @@ def _latest(spark, sf_dir):
 
 @query("j01_enrich", f"WITH {q.FEED}, {q.CHANNELS} SELECT trans_num, category, channel, CASE channel WHEN 'online' THEN 'card_not_present' WHEN 'in_person' THEN 'card_present' ELSE 'general' END AS tier FROM feed LEFT JOIN channels USING (category)")
 def _enrich(spark, sf_dir):
-    return conform.enrich(feeds.transactions(spark, sf_dir), feeds.categories(spark), "category").select("trans_num", "category", "channel", present_tier("channel").alias("tier"))
+    return conform.enrich(feeds.transactions(spark, sf_dir, False), feeds.categories(spark), "category").select("trans_num", "category", "channel", present_tier("channel").alias("tier"))
 
 
 @query(
@@ -225,7 +224,7 @@ def _parity_clean(spark, sf_dir):
 
 @query("j03_orphans", f"WITH {q.FEED}, {q.CHANNELS} SELECT f.category, count(*) AS rows FROM feed f LEFT JOIN channels c ON f.category = c.category WHERE c.category IS NULL GROUP BY 1")
 def _orphans(spark, sf_dir):
-    return parity.orphans(feeds.transactions(spark, sf_dir), feeds.categories(spark), "category")
+    return parity.orphans(feeds.transactions(spark, sf_dir, False), feeds.categories(spark), "category")
 
 
 @query("j04_totals", f"{q.WITH} SELECT (SELECT {q.total()} FROM tx) AS total_a, (SELECT {q.total()} FROM tx WHERE is_fraud = 0) AS total_b")
@@ -240,7 +239,7 @@ def _calendar(spark, sf_dir):
 
 
 def _series(spark, sf_dir):
-    feed = feeds.transactions(spark, sf_dir)
+    feed = feeds.transactions(spark, sf_dir, False)
     by_day = F.to_date("trans_time").alias("day")
     volume = feed.where("category <> 'error'").groupBy(by_day).agg(F.count("*").alias("txns"))
     fraud = feed.where("is_fraud = 1").groupBy(by_day).agg(F.sum("is_fraud").alias("fraud_txns"))
@@ -280,7 +279,7 @@ def _a01(spark, sf_dir):
 
 @query("a02_state_hourly_volume", f"{q.WITH} {q.STATES}")
 def _a02(spark, sf_dir):
-    return kpis.state_hourly_volume(tx(spark, sf_dir))
+    return kpis.state_hourly_volume(tx(spark, sf_dir, state=True))
 
 
 @query("a03_card_daily", f"{q.WITH}, {q.DAILY} SELECT * FROM daily")
@@ -310,7 +309,7 @@ def _w01(spark, sf_dir):
 @query("w03_state_shares", f"""{q.WITH}, s AS (SELECT trans_date, trans_hour, state, {q.COUNT}, {q.total()} AS total_amt, {q.mean()} AS avg_amt FROM tx GROUP BY ALL)
     SELECT *, {q.share('txns', 'sum(txns) OVER (PARTITION BY trans_date, trans_hour)')} AS txn_share_pct FROM s""")
 def _w03(spark, sf_dir):
-    return kpis.state_shares(tx(spark, sf_dir))
+    return kpis.state_shares(tx(spark, sf_dir, state=True))
 
 
 @query("w04_category_summary", f"""{q.WITH}, c AS (SELECT category, {q.SUMS}, {q.mean()} AS avg_amt, min(trans_time) AS first_txn, max(trans_time) AS last_txn FROM tx GROUP BY 1)
@@ -336,7 +335,7 @@ def _a16(spark, sf_dir):
 
 @query("a17_state_totals", f"{q.WITH} SELECT state, {q.COUNT}, {q.total()} AS total_amt FROM tx GROUP BY 1")
 def _a17(spark, sf_dir):
-    return tx(spark, sf_dir).groupBy("state").agg(F.count("*").alias("txns"), kpis.exact_sum("amt").alias("total_amt"))
+    return tx(spark, sf_dir, state=True).groupBy("state").agg(F.count("*").alias("txns"), kpis.exact_sum("amt").alias("total_amt"))
 
 
 def _extract(name: str, column: str, average: bool = False, select: str | None = None) -> None:
@@ -344,7 +343,7 @@ def _extract(name: str, column: str, average: bool = False, select: str | None =
 
     @query(name, f"{q.WITH} SELECT {select or column}, {q.SUMS}{mean}, {q.ratio('sum(is_fraud)', 'count(*)', 8)} AS fraud_rate FROM tx GROUP BY ALL")
     def _run(spark, sf_dir):
-        return kpis.rollup(tx(spark, sf_dir), column, rate_places=8, average=average)
+        return kpis.rollup(tx(spark, sf_dir, state=column == "state"), column, rate_places=8, average=average)
 
 
 _extract("a18_extract_by_date", "trans_date")
@@ -424,7 +423,7 @@ def _l04(spark, sf_dir):
 
 @query("l05_latest_windows", f"WITH {q.FEED} SELECT date_trunc('minute', trans_time) AS window_start, category, {q.COUNT} FROM feed GROUP BY 1, 2 ORDER BY 1 DESC, 2 LIMIT 20")
 def _l05(spark, sf_dir):
-    windows = stream.window_metrics(feeds.transactions(spark, sf_dir), time="trans_time")
+    windows = stream.window_metrics(feeds.transactions(spark, sf_dir, False), time="trans_time")
     return kpis.top(windows, 20, F.desc("window_start"), "category").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "category", "txns")
 
 
@@ -507,7 +506,7 @@ def _summary(spark, sf_dir):
 def _stream(spark, sf_dir):
     """The feed as JSON files through the streaming arm: redelivered events are counted once."""
     path = workdir(spark)
-    feed = feeds.transactions(spark, sf_dir).withColumns({"event_ts": F.col("trans_time").cast("string"), "redelivery": F.explode(F.when(F.col("event_id") % 11 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))})
+    feed = feeds.transactions(spark, sf_dir, False).withColumns({"event_ts": F.col("trans_time").cast("string"), "redelivery": F.explode(F.when(F.col("event_id") % 11 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))})
     feed.select("trans_num", "event_ts", "amt", "category", F.col("is_fraud").cast("long").alias("is_fraud"), "redelivery").write.json(f"{path}/in")
     table = Table(spark, f"{path}/windows")
     stream.start_metrics(stream.file_source(spark, f"{path}/in", 10_000), table, f"{path}/checkpoint", trigger={"availableNow": True}).awaitTermination()
@@ -520,7 +519,7 @@ def _stream(spark, sf_dir):
 
 def _scored(spark, sf_dir):
     """A score that follows from the id by whole-number arithmetic, with ties."""
-    return feeds.transactions(spark, sf_dir).withColumn("score", ((F.col("event_id") * 7919 + F.col("is_fraud") * 211) % 1000).cast("double") / 1000.0)
+    return feeds.transactions(spark, sf_dir, False).withColumn("score", ((F.col("event_id") * 7919 + F.col("is_fraud") * 211) % 1000).cast("double") / 1000.0)
 
 
 @query("a24_thresholds", f"WITH {q.FEED}, {q.SCORED} SELECT {q.r('quantile_cont(score, 0.9)', 6)} AS review, {q.r('quantile_cont(score, 0.99)', 6)} AS decline FROM scored")
@@ -548,7 +547,7 @@ def _confusion(spark, sf_dir):
 
 @query("p21_features", f"WITH {q.FEED} SELECT trans_num, {q.r('ln(1 + greatest(coalesce(amt, 0), 0))', 6)} AS log_amt, CAST(coalesce(hour(trans_time), 0) AS DOUBLE) AS hour, coalesce(category, 'unknown') AS category FROM feed")
 def _features(spark, sf_dir):
-    return scoring.features(feeds.transactions(spark, sf_dir)).select("trans_num", exact_round("log_amt", 6).alias("log_amt"), "hour", "category")
+    return scoring.features(feeds.transactions(spark, sf_dir, False)).select("trans_num", exact_round("log_amt", 6).alias("log_amt"), "hour", "category")
 
 
 @query("m01_score")

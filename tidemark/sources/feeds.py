@@ -53,17 +53,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table as a raw transaction feed; customer and nation give the state.
+def transactions(spark: SparkSession, sf_dir: str, state: bool = True) -> DataFrame:
+    """The ``events`` table as a raw transaction feed; customer and nation give the state, which costs two joins if asked for.
 
     Everything follows from ids by whole-number arithmetic, so that any engine gets the same feed.
     """
-    e, u = F.col("event_id"), F.col("user_id")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
-    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("state"))
-    joined = events.join(customers, "user_id", "left").join(nations, "c_nationkey", "left")
-    return joined.select(
+    if state:
+        events = _with_state(spark, sf_dir, events)
+    return events.select(*_feed_columns(), *(["state"] if state else []))
+
+
+def _feed_columns() -> list[Column]:
+    e, u = F.col("event_id"), F.col("user_id")
+    return [
         F.md5(e.cast("string")).alias("trans_num"),
         F.col("ts").cast("timestamp_ntz").alias("trans_time"),
         (F.lit(4_000_000_000_000_000) + u).alias("cc_num"),
@@ -72,7 +75,6 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("amt"),
         F.when(u % 2 == 0, "F").otherwise("M").alias("gender"),
         F.concat(F.lit("city_"), (u % 31).cast("string")).alias("city"),
-        "state",
         (u % 90000 + 10000).cast("int").alias("zip"),
         ((u * 37) % 180 - 90).cast("double").alias("lat"),
         ((u * 53) % 360 - 180).cast("double").alias("long"),
@@ -84,14 +86,20 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 37 == 0, 1).otherwise(0).alias("is_fraud"),
         F.when(e % 7 == 0, None).otherwise(e % 90000).cast("int").alias("merch_zipcode"),
         F.when(e % 3 == 0, "test").otherwise("train").alias("source_split"),
-        F.col("event_id"),
-    )
+        e,
+    ]
+
+
+def _with_state(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("state"))
+    return events.join(customers, "user_id", "left").join(nations, "c_nationkey", "left")
 
 
-def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_transactions(spark: SparkSession, sf_dir: str, state: bool = False) -> DataFrame:
     """The feed with faults put in by id, one kind in each residue class, so that every rule has rows."""
     e = F.col("event_id") % 101
-    return transactions(spark, sf_dir).withColumns(
+    return transactions(spark, sf_dir, state).withColumns(
         {
             "trans_num": F.when(e == 1, "not-an-id").when(e == 2, None).otherwise(F.col("trans_num")),
             "trans_time": F.when(e == 3, None).otherwise(F.col("trans_time")),
