@@ -55,8 +55,30 @@ class Node:
 
 
 def parse(page: str) -> Node:
+    """The element tree. What closes what is looked up in counts of open elements, so that deep nesting costs no more than flat."""
     root = node = Node("#root", "", None)
+    open_: dict[str, int] = {}
     at = 0
+
+    def close(upto: Node) -> Node:
+        """Leave ``upto`` and all in it; its parent."""
+        x = node
+        while x is not upto.parent:
+            open_[x.tag] -= 1
+            x = x.parent
+        return x
+
+    def ended(tags: set[str], scope: set[str]) -> Node:
+        """Where a tag goes that ends open elements of ``tags``, up to the nearest of ``scope``."""
+        if not any(open_.get(t) for t in tags):
+            return node
+        x, last = node, None
+        while x is not root and x.tag not in scope:
+            if x.tag in tags:
+                last = x
+            x = x.parent
+        return node if last is None else close(last)
+
     for m in iter(lambda: TOKEN.search(page, at), None):
         if m.start() > at:
             node.items.append(page[at : m.start()])
@@ -64,9 +86,9 @@ def parse(page: str) -> Node:
         if m[2]:
             tag = m[2].lower()
             if tag not in UNBROKEN:
-                node = _close(node, {"p"}, {"td", "th", "button", "table"})
+                node = ended({"p"}, {"td", "th", "button", "table"})
             if tag in ENDS:
-                node = _close(node, *ENDS[tag])
+                node = ended(*ENDS[tag])
             new = Node(tag, m[3] or "", node)
             node.items.append(new)
             if tag in RAW:
@@ -74,26 +96,18 @@ def parse(page: str) -> Node:
                 at = end.end() if end else len(page)
             elif tag not in VOID and not (m[3] or "").rstrip().endswith("/"):
                 node = new
-        elif m[1]:
-            tag, up = m[1].lower(), node
-            while up is not None and up.tag != tag and not (tag in INLINE and up.tag not in INLINE):
-                up = up.parent
-            if up is not None and up.tag == tag and up.parent is not None:
-                node = up.parent
+                open_[tag] = open_.get(tag, 0) + 1
+        elif m[1] and open_.get(tag := m[1].lower()):
+            x = node
+            while x.tag != tag and not (tag in INLINE and x.tag not in INLINE):
+                x = x.parent
+            if x.tag == tag:
+                node = close(x)
     if at < len(page):
         node.items.append(page[at:])
     return root
 
 
-def _close(node: Node, tags: set[str], scope: set[str]) -> Node:
-    up, out = node, node
-    while up is not None and up.tag not in scope:
-        if up.tag in tags:
-            out = up.parent
-        up = up.parent
-    return out
-
-
 def traits(node: Node) -> dict[str, str]:
     return {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(node.attrs)} if node.attrs else {}
 
