@@ -135,23 +135,6 @@ def unpack_sorted(b: bytes, n: int, dtype) -> np.ndarray:
     return np.cumsum(unpack(b, n, dtype), dtype=dtype)
 
 
-class WordHashes(dict):
-    """64-bit hash of a word's bytes, remembered; emptied when it holds ``most`` words."""
-
-    most = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.most:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A finaliser: every bit of the result depends on every bit of ``h``."""
     h = h ^ (h >> np.uint64(32))
@@ -159,6 +142,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def hash_words(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word: its bytes times random numbers by place, summed and mixed; no table of words is kept."""
+    if not words:
+        return np.empty(0, np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(sizes.sum()) - np.repeat(first, sizes)
+    factor = mix(np.arange(1, int(sizes.max()) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    value = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
+    value *= factor[place]
+    return mix(np.add.reduceat(value, first) ^ (sizes.astype(np.uint64) << np.uint64(56)))
+
+
 def windows(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of every run of ``n`` consecutive word hashes."""
     if len(h) < n:

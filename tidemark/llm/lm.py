@@ -27,12 +27,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import LAST_ID, WordHashes, blob_batches, materialize, of_blobs, pack, pack_sorted, sorted_rows, unpack, unpack_sorted
+from .common import LAST_ID, blob_batches, hash_words, materialize, of_blobs, pack, pack_sorted, sorted_rows, unpack, unpack_sorted
 
 #: Bytes of context, folds of which the first is held out, and text bytes of the table for each bucket.
 ORDER, FOLDS, BUCKET_BYTES = 5, 10, 4 << 20
 #: Text bytes of a batch, and those that are turned into grams at once.
-BATCH_BYTES, CHUNK_BYTES = 32 << 20, 2 << 20
+BATCH_BYTES, CHUNK_BYTES = 16 << 20, 1 << 20
 END, SPACE, PAD = 10, 32, 0
 ALPHA = 0.1
 END_WORD = b"\n"
@@ -69,7 +69,6 @@ class Texts:
         self.order = order
         self.ids, self.texts, _ = sorted_rows(table)
         self.held = held_out([None if i == LAST_ID else i for i in self.ids.tolist()])
-        self.hashes = WordHashes()
 
     def chunks(self):
         """(documents as a slice, {kind: (values, sizes)})."""
@@ -81,14 +80,14 @@ class Texts:
                 at, size = k + 1, 0
 
     def _read(self, texts: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        end = np.array([self.hashes[END_WORD]], np.uint64)
         data, words, sizes = [], [], []
         for t in texts:
             b, w = symbols(t)
             data.append(grams(b, self.order))
-            words += [self.hashes.of(w), end]
+            words += w
+            words.append(END_WORD)
             sizes.append(len(w) + 1)
-        return {GRAMS: (np.concatenate(data), np.array([len(d) for d in data])), WORDS: (np.concatenate(words), np.array(sizes))}
+        return {GRAMS: (np.concatenate(data), np.array([len(d) for d in data])), WORDS: (hash_words(words), np.array(sizes))}
 
 
 def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

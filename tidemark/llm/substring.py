@@ -25,10 +25,11 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import LAST_ID, WordHashes, mix, pack, pack_sorted, sorted_rows, text_batches, unpack, unpack_sorted, windows
+from .common import LAST_ID, hash_words, mix, pack, pack_sorted, sorted_rows, text_batches, unpack, unpack_sorted, windows
 
 WINDOW = 13
 #: Text bytes of the table for each bucket of hashes, so that a bucket's share of them keeps its size.
@@ -43,8 +44,7 @@ class Batch:
 
     def __init__(self, table: pa.Table):
         self.ids, self.texts, self.order = sorted_rows(table)
-        hashes = WordHashes()
-        each = [hashes.of((t or "").encode("utf-8", "surrogatepass").split()) for t in self.texts]
+        each = [hash_words((t or "").encode("utf-8", "surrogatepass").split()) for t in self.texts]
         self.sizes = np.array([len(h) for h in each], np.int64)
         self.words = np.concatenate([*each, np.empty(0, np.uint64)])
         self.first = np.cumsum(self.sizes) - self.sizes
@@ -94,15 +94,17 @@ def _index(block: int, buckets: int) -> Callable:
     def run(key: tuple, table: pa.Table) -> pa.Table:
         b = Batch(table)
         at, bucket, low = _probe(b, block, buckets)
-        k = _key(bucket, low)
-        order = np.argsort(k, kind="stable")
-        k, doc, anchor = k[order], b.doc[at][order], (b.at[at] % block == 0)[order]
-        i = _runs(k)
-        if not len(i):
+        code, k = pd.factorize(_key(bucket, low))
+        if not len(k):
             return SENT.empty_table()
-        anchored = np.logical_or.reduceat(anchor, i)
-        many = np.minimum.reduceat(doc, i) != np.maximum.reduceat(doc, i)
-        k = k[i]
+        doc = b.doc[at]
+        anchored, first = np.zeros(len(k), bool), np.empty(len(k), np.int64)
+        anchored[code[b.at[at] % block == 0]] = True
+        first[code[::-1]] = doc[::-1]  # the document of the first place of each
+        many = np.zeros(len(k), bool)
+        many[code[doc != first[code]]] = True
+        order = np.argsort(k)
+        k, anchored, many = k[order], anchored[order], many[order]
         return _send(key[0].as_py(), (k >> np.uint64(32)).astype(np.int32), k.astype(np.uint32), [(anchored + 2 * many).astype(np.uint8)])
 
     return run
@@ -133,9 +135,9 @@ def _extend(block: int, window: int, buckets: int) -> Callable:
             return SENT.empty_table()
         b = Batch(table)
         at, bucket, low = _probe(b, block, buckets)
-        known = np.sort(np.concatenate([_key(np.full(n, k), unpack_sorted(h, n, np.uint32)) for k, n, h in zip(hits["bucket"].to_pylist(), hits["n"].to_pylist(), hits["h"].to_pylist(), strict=True)]))
+        known = np.concatenate([_key(np.full(n, k), unpack_sorted(h, n, np.uint32)) for k, n, h in zip(hits["bucket"].to_pylist(), hits["n"].to_pylist(), hits["h"].to_pylist(), strict=True)])
         k = _key(bucket, low)
-        hit = at[known[np.minimum(np.searchsorted(known, k), len(known) - 1)] == k]
+        hit = at[pd.Series(k).isin(known).to_numpy()]
         del k, at, bucket, low
         # a window around a hit begins up to window - block words before it
         reach = np.zeros(len(b.words) + 1, np.int32)
@@ -190,14 +192,11 @@ def covered(b: Batch, window: int, gone_h: np.ndarray, gone_other: np.ndarray) -
     if len(start):
         h = windows(b.words, window)[start]
         ids = b.ids[b.doc[start]]
-        repeated = np.zeros(len(start), bool)
-        order = np.argsort(h, kind="stable")
-        i = _runs(h[order])
-        size = np.diff(np.append(i, len(h)))
-        repeated[order] = np.repeat(size > 1, size)  # in this batch
+        code, value = pd.factorize(h)
+        often = np.bincount(code, minlength=len(value)) > 1  # in this batch
         if len(gone_h):
-            spot = np.searchsorted(gone_h, h)
-            repeated |= gone_h[np.minimum(spot, len(gone_h) - 1)] == h
+            often |= gone_h[np.minimum(np.searchsorted(gone_h, value), len(gone_h) - 1)] == value
+        repeated = often[code]
         pick = np.flatnonzero(repeated)
         if len(pick):
             start, h, ids = start[pick], h[pick], ids[pick]
@@ -236,12 +235,19 @@ def _remove(window: int, with_text: bool) -> Callable:
             kept.append(joined.decode("utf-8", "replace") if removed[-1] else text)
         arrays = {"doc_id": pa.array([None if i == LAST_ID else i for i in b.ids.tolist()], pa.int64()), "n_words": pa.array(b.sizes), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
         if with_text:
-            arrays |= {"text": pa.array(kept, pa.string()), "rest": table["rest"].take(pa.array(b.order, pa.int64())).combine_chunks()}
+            arrays |= {"text": pa.array(kept, pa.string()), "rest": _nullable(table["rest"].take(pa.array(b.order, pa.int64())).combine_chunks())}
         return pa.table(arrays)
 
     return run
 
 
+def _nullable(a: pa.Array) -> pa.Array:
+    """A struct array whose fields may hold nulls, as the schema that goes back to Spark says."""
+    if not pa.types.is_struct(a.type):
+        return a
+    return pa.StructArray.from_arrays([_nullable(a.field(k)) for k in range(a.type.num_fields)], fields=[f.with_type(_nullable(a.field(k)).type).with_nullable(True) for k, f in enumerate(a.type)])
+
+
 RESULT_SQL = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
