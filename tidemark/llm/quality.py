@@ -1,7 +1,7 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a small neural network.
 
-A word's vector is its sparse random index vector (from the hashes of the word, its shape and its ends) next to its
-context vector: the sum of the index vectors of its neighbours over the training sample. Words are hashed into ``BUCKETS``
+A word's vector is its sparse random index vector (from the hashes of the word, its shape, its ends, and whether it is the
+word before once more) next to its context vector: the sum of the index vectors of its neighbours over the training sample. Words are hashed into ``BUCKETS``
 units, so both tables have a fixed size at any vocabulary. A document's vector is the mean over its words, which is the
 histogram of its units times the tables. A two-layer network in numpy gives a logit; its temperature is
 fitted on a part of the sample held back from training, so that scores are probabilities.
@@ -17,6 +17,7 @@ class only, all scores are the share of label 1 (0.5 without rows); an empty tab
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,12 @@ from .common import small_batches
 BUCKETS, DIM, HIDDEN, NONZERO = 4096, 96, 32, 6
 MAX_TRAIN, EPOCHS, SEED = 6000, 60, 17
 THRESHOLD, FOLDS = 0.3, 5
-SHAPE = [(re.compile(rb"[A-Z]+"), b"X"), (re.compile(rb"[a-z\x80-\xff]+"), b"x"), (re.compile(rb"[0-9]+"), b"0"), (re.compile(rb"(.)\1+", re.S), rb"\1\1")]
+#: The unit of a word that stands directly after itself.
+AGAIN = 1
+#: Capitals, other letters and digits as one sign each; and runs of a sign, which count as two.
+SIGNS = bytes(88 if 65 <= c <= 90 else 120 if 97 <= c <= 122 or c >= 128 else 48 if 48 <= c <= 57 else c for c in range(256))
+PACK = struct.Struct("<4H").pack
+RUNS = re.compile(rb"(.)\1+", re.S)
 
 
 def index_vectors(buckets: int = BUCKETS, dim: int = DIM, nonzero: int = NONZERO) -> np.ndarray:
@@ -42,37 +48,51 @@ def index_vectors(buckets: int = BUCKETS, dim: int = DIM, nonzero: int = NONZERO
 
 
 class Units(dict):
-    """The units of a word: itself, its shape, its first and its last three bytes; emptied at ``most`` words."""
+    """The units of a word as four 16-bit numbers: itself, its shape, its first and its last three bytes.
 
-    most = 200_000
+    Emptied at ``most`` words.
+    """
+
+    most = 250_000
 
-    def __missing__(self, word: bytes) -> tuple[int, int, int, int]:
+    @classmethod
+    def small(cls) -> Units:
+        """For the driver."""
+        units = cls()
+        units.most = 50_000
+        return units
+
+    def __missing__(self, word: bytes) -> bytes:
         import xxhash
 
         if len(self) >= self.most:
             self.clear()
-        shape = word[:64]
-        for pattern, by in SHAPE:
-            shape = pattern.sub(by, shape)
+        shape = RUNS.sub(rb"\1\1", word[:64].translate(SIGNS))
         h = xxhash.xxh64_intdigest
-        out = self[word] = (h(word) % BUCKETS, h(b"s" + shape, 1) % BUCKETS, h(b"a" + word[:3], 2) % BUCKETS, h(b"z" + word[-3:], 3) % BUCKETS)
+        out = self[word] = PACK(h(word) % BUCKETS, h(b"s" + shape, 1) % BUCKETS, h(b"a" + word[:3], 2) % BUCKETS, h(b"z" + word[-3:], 3) % BUCKETS)
         return out
 
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """A row for each word."""
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u2").reshape(-1, 4)
+
 
 def histogram(text: str | None, units: Units) -> tuple[np.ndarray, np.ndarray]:
     """Shares of all units and of whole words, each over ``BUCKETS``."""
     words = (text or "").encode("utf-8", "surrogatepass").split()
     if not words:
         return np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
-    ids = np.array([units[w] for w in words], np.int64)
-    return (np.bincount(ids.ravel(), minlength=BUCKETS) / (4 * len(words))).astype(np.float32), (np.bincount(ids[:, 0], minlength=BUCKETS) / len(words)).astype(np.float32)
+    ids = units.of(words)
+    all_units = np.bincount(ids.ravel(), minlength=BUCKETS) / (4 * len(words))
+    all_units[AGAIN] += (ids[1:, 0] == ids[:-1, 0]).mean() if len(words) > 1 else 0
+    return all_units.astype(np.float32), (np.bincount(ids[:, 0], minlength=BUCKETS) / len(words)).astype(np.float32)
 
 
 def context_vectors(texts: list[str], index: np.ndarray, reach: int = 2) -> np.ndarray:
     """Random indexing: each word unit's sum of the index vectors of its neighbours, at unit length."""
-    units, out = Units(), np.zeros_like(index)
+    units, out = Units.small(), np.zeros_like(index)
     for at in range(0, len(texts), 256):
-        ids = [np.array([units[w][0] for w in t.encode("utf-8", "surrogatepass").split()], np.int64) for t in texts[at : at + 256]]
+        ids = [units.of(t.encode("utf-8", "surrogatepass").split())[:, 0].astype(np.int64) for t in texts[at : at + 256]]
         codes = np.concatenate([np.empty(0, np.int64), *(a * BUCKETS + b for x in ids for k in range(1, reach + 1) if len(x) > k for a, b in ((x[k:], x[:-k]), (x[:-k], x[k:])))])
         code, n = np.unique(codes, return_counts=True)
         if len(code):
@@ -101,11 +121,11 @@ class Model:
     def vectors(self, texts: list[str | None], units: Units | None = None) -> np.ndarray:
         units = Units() if units is None else units
         out = np.empty((len(texts), 2 * DIM), np.float32)
-        for at in range(0, len(texts), 512):
-            both = [histogram(t, units) for t in texts[at : at + 512]]
+        for at in range(0, len(texts), 128):
+            both = [histogram(t, units) for t in texts[at : at + 128]]
             if both:
-                out[at : at + 512, :DIM] = np.stack([a for a, _ in both]) @ self.table
-                out[at : at + 512, DIM:] = np.stack([b for _, b in both]) @ self.context
+                out[at : at + 128, :DIM] = np.stack([a for a, _ in both]) @ self.table
+                out[at : at + 128, DIM:] = np.stack([b for _, b in both]) @ self.context
         return out
 
     def logits(self, x: np.ndarray) -> np.ndarray:
@@ -126,7 +146,7 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
         model.constant = float(labels.mean()) if len(labels) else 0.5
         return model
     model.context = context_vectors(texts, index)
-    x, y = model.vectors(texts), labels.astype(np.float32)
+    x, y = model.vectors(texts, Units.small()), labels.astype(np.float32)
     held = np.arange(len(y)) % 5 == 0
     model.mean, model.scale = x[~held].mean(0), x[~held].std(0) + 1e-4
     rng = np.random.default_rng(SEED)
