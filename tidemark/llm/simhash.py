@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import materialize, mix, small_batches
 
@@ -347,13 +347,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of each group of near duplicates, with all columns: that with the smallest doc_id."""
-    keep = near_duplicates(docs, similarity).select(F.col("least").alias("__least"), F.col("t1").alias("__1"), F.col("t2").alias("__2"))
+    number = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-1 << 63))
+    keep = near_duplicates(docs, similarity).select(number("least").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(1), text)})
-    met = own.join(keep, (own["__t1"] == keep["__1"]) & (own["__t2"] == keep["__2"]) & own["doc_id"].cast("long").eqNullSafe(keep["__least"]), "left_semi")
-    # a row that stands twice stays once; such rows are neighbours already, dealt by the join
-    once = F.row_number().over(W.partitionBy("__t1", "__t2", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63))).orderBy("__t1"))
-    return met.withColumn("__n", once).where("__n = 1").select(*docs.columns)
+    own = docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(1), text), "__id": number("doc_id")})
+    met = own.join(keep, ["__id", "__t1", "__t2"], "left_semi")
+    # a row that stands twice stays once; such rows are neighbours already, dealt and sorted by the join
+    return met.dropDuplicates(["__id", "__t1", "__t2"]).select(*docs.columns)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
