@@ -65,7 +65,9 @@ def site(rng, k, banner):
     return f"<div class=q1><div>{banner}</div><div><span>Share this now</span></div></div><div class=z><p>{prose(rng, 30)}</p><p>A line that all pages quote.</p></div><div><div>page {k}</div></div>"
 
 
-def test_recurring_subtrees_go_and_prose_stays(spark):
+@pytest.mark.parametrize("hot", [1000, 1])
+def test_recurring_subtrees_go_and_prose_stays(spark, monkeypatch, hot):
+    monkeypatch.setattr(h, "HOT_SHARE", hot)
     rng = random.Random(0)
     rows = [(k, f"https://a.example/{k}", site(rng, k, "Welcome to A")) for k in range(30)]
     rows += [(100 + k, f"http://u@b.example:80/{k}?x", site(rng, k, "Welcome to B")) for k in range(4)]
@@ -92,6 +94,6 @@ def test_counts_match_brute_force(spark):
         own = [t for _, u, t in rows if u.startswith(f"https://{host}.")]
         c = Counter(x for t in own for x in h.subtrees(h.parse(t)))
         want[f"{host}.example"] = sorted(x for x, n in c.items() if n >= h.MIN_PAGES and n >= h.MIN_SHARE * len(own))
-    got = h.templates(pages(spark, rows).withColumn("host", h.host_of(F.col("url")))).collect()
+    got = h.templates(h.recurring(pages(spark, rows).withColumn("host", h.host_of(F.col("url"))))).collect()
     assert {r["host"]: sorted(r["template"]) for r in got} == {k: v for k, v in want.items() if v}
     assert h.main_text(pages(spark, [])).count() == 0

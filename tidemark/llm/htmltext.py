@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import small_batches
+from .common import materialize, small_batches
 
 #: A subtree is template if it stands on at least so many pages of its host and on at least this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.5
@@ -223,9 +223,12 @@ def host_of(column) -> object:
     return F.lower(F.coalesce(F.regexp_extract(column, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): the hashes of each host's recurring subtrees. At a share of one half there are at most
-    twice as many as an average page of the host has subtrees."""
+#: A host with this share of all pages is hot: there are HOT_SHARE at most. Its pages are dealt over HOT_PARTS.
+HOT_SHARE, HOT_PARTS = 1000, 256
+
+
+def recurring(pages: DataFrame) -> DataFrame:
+    """(host, h, n): on how many pages of its host each subtree stands, where on enough to be template; h = 0 counts pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,21 +240,38 @@ def templates(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "h"])
 
     counts = pages.select("host", "html").mapInArrow(run, "host string, h long").groupBy("host", "h").agg(F.count("*").alias("n"))
+    return materialize(counts.where((F.col("h") == 0) | (F.col("n") >= MIN_PAGES)), "subtrees")
+
+
+def templates(counts: DataFrame) -> DataFrame:
+    """(host, template): the hashes of each host's recurring subtrees. At a share of one half there are at most
+    twice as many as an average page of the host has subtrees."""
     total = counts.where("h = 0").select("host", F.col("n").alias("pages"))
-    many = counts.where((F.col("h") != 0) & (F.col("n") >= MIN_PAGES)).join(total, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
+    many = counts.where("h <> 0").join(total, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
     return many.groupBy("host").agg(F.collect_set("h").alias("template"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) of every row."""
+    """(page_id, url, text, n_chars) of every row.
+
+    Pages meet their host's template by host; those of hot hosts, of which there can only be so many, by host and part.
+    """
     pages = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
+    counts = recurring(pages)
+    sizes = counts.where("h = 0").select("host", "n")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(sizes.where(F.col("n") * HOT_SHARE >= total).select("host", F.lit(True).alias("hot")))  # HOT_SHARE rows at most
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("page_id", "url"), F.lit(HOT_PARTS))).otherwise(0).cast("int")
+    left = pages.join(hot, "host", "left").select("page_id", "url", "html", "host", part.alias("part"))
+    parts = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0))))
+    right = templates(counts).join(hot, "host", "left").select("host", "template", parts.alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [extract(p.as_py(), set(t.as_py() or ())) for p, t in zip(batch["html"], batch["template"], strict=True)]
             yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.join(templates(pages), "host", "left").select("page_id", "url", "html", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return left.join(right, ["host", "part"], "left").select("page_id", "url", "html", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
