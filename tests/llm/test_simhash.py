@@ -151,3 +151,36 @@ def test_pivots_reach_the_original():
     fp = np.array([centre] + [centre ^ (np.uint64(1) << np.uint64(a)) ^ (np.uint64(1) << np.uint64(b)) ^ (np.uint64(1) << np.uint64(c)) for a, b, c in (rng.choice(64, 3, replace=False) for _ in range(200))], np.uint64)
     pairs = set(s.near_pairs(fp, 0, 3))
     assert {(0, k) for k in range(1, len(fp))} <= pairs and len(pairs) < 3 * len(fp)
+
+
+def stay(spark, make, texts):
+    """The rows that stay, and those that should by all pairs; row k is document k."""
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if jaccard(texts[a], texts[b]) >= 0.8:
+                u, v = find(a), find(b)
+                parent[max(u, v)] = min(u, v)
+    got = s.keep_first(make(list(enumerate(texts)), False)).collect()
+    return sorted(r["doc_id"] for r in got), [k for k in range(len(texts)) if find(k) == k]
+
+
+def test_long_texts_are_decided_on_all_shingles(spark, make):
+    """Similarities close to both sides of 0.8, texts of 300 to 2000 words."""
+    rng = random.Random(31)
+    texts = []
+    for _ in range(40):
+        w = prose(rng, n := rng.randint(300, 2000)).split()
+        texts.append(" ".join(w))
+        edits = round(n * rng.uniform(0.019, 0.026))
+        for k in rng.sample(range(n // 6), edits):
+            w[6 * k] = word(rng) + "x"
+        texts.append(" ".join(w))
+    got, want = stay(spark, make, texts)
+    assert 45 < len(want) < 75 and got == want

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import materialize, mix, small_batches
+from .common import materialize, mix, pack_sorted, small_batches, unpack_sorted
 
 #: Most fingerprints of one key that are compared in one call.
 CHUNK = 2048
@@ -260,32 +260,47 @@ def groups(rows: DataFrame, distance: int = 3, blocks: int = 6) -> DataFrame:
     return rows.join(per_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-#: For near_duplicates: shingle length, similarity, size of the sketch; word fingerprints of each text, bits that they may
-#: differ in, and blocks.
-SHINGLE, SIMILARITY, SKETCH, FAMILIES, WORD_DISTANCE, WORD_BLOCKS = 5, 0.8, 128, 8, 3, 5
+#: For near_duplicates: shingle length, similarity, size of the sketch; fingerprints of each text and min-hash shingles in each.
+SHINGLE, SIMILARITY, SKETCH, FAMILIES, ROWS = 5, 0.8, 128, 32, 5
+#: So many hashes of the sketch go to the first comparison, and a pair goes on if the smaller one shares this part of them.
+FIRST, FIRST_SHARE = 32, 0.4
+#: Members and shingles of one part of a cell; bytes that one call compares.
+CELL, CELL_SHINGLES, CELL_BYTES = 1024, 1 << 20, 16 << 20
 
+_FACTORS = mix(np.arange(1, FAMILIES * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
-def profile(text: str | None) -> tuple[list[int], bytes]:
-    """``FAMILIES`` fingerprints over a text's different words, and the ``SKETCH`` smallest 32-bit hashes of its word shingles."""
+
+def shingle_hashes(text: str | None) -> np.ndarray:
+    """The different XXH64 of a text's five-word shingles, in order; a shorter text is one shingle, one without words has none."""
     import xxhash
 
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return [0] * FAMILIES, b""
-    h = np.array([xxhash.xxh64_intdigest(w, 42) for w in dict.fromkeys(parts)], "<u8")
-    fps = []
-    for family in range(FAMILIES):
-        x, sums = mix(h * np.uint64(2 * family + 1)), np.zeros(64, np.int64)
-        for at in range(0, len(x), 255):  # sums of up to 255 bits fit a byte
-            sums += np.unpackbits(x[at : at + 255].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
-        fps.append(int(np.packbits(2 * sums > len(x), bitorder="little").view("<i8")[0]))
+        return np.empty(0, np.uint64)
     joined = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
     n = max(1, len(parts) - SHINGLE + 1)
     stops = (ends[SHINGLE - 1 :] - 1).tolist() if len(parts) >= SHINGLE else [len(joined)]
-    view = memoryview(joined)
-    sketch = np.unique(np.array([xxhash.xxh32_intdigest(view[a:b]) for a, b in zip([0, *ends[: n - 1].tolist()], stops, strict=True)], "<u4"))
-    return fps, sketch[:SKETCH].tobytes()
+    digest, view = xxhash.xxh64_intdigest, memoryview(joined)
+    return np.unique(np.array([digest(view[a:b]) for a, b in zip([0, *ends[: n - 1].tolist()], stops, strict=True)], "<u8"))
+
+
+def profile(text: str | None) -> tuple[list[int], bytes, int, bytes]:
+    """``FAMILIES`` SimHash fingerprints, the ``SKETCH`` smallest 32-bit hashes of the shingles, and how many shingles there are and all their 40-bit hashes, packed.
+
+    A fingerprint has the majority bits of ``ROWS`` shingles, each the smallest under a hash function of its own.
+    """
+    h = shingle_hashes(text)
+    if not len(h):
+        return [0] * FAMILIES, b"", 0, b""
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(h), 512):
+        np.minimum(least, (_FACTORS[:, None] * h[None, at : at + 512]).min(axis=1), out=least)
+    bits = np.unpackbits(mix(least).view(np.uint8).reshape(FAMILIES, ROWS, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.uint8)
+    fps = np.packbits(2 * bits > ROWS, axis=1, bitorder="little").view("<i8").ravel().tolist()
+    sketch = np.unique((h >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
+    own = np.unique(h >> np.uint64(24))
+    return fps, sketch, len(own), pack_sorted(own)
 
 
 def sketch_similarity(a: bytes, b: bytes) -> float:
@@ -299,39 +314,108 @@ def sketch_similarity(a: bytes, b: bytes) -> float:
     return float(np.isin(np.intersect1d(x, y), union).sum() / max(1, len(union)))
 
 
+def spanning(sets: list[np.ndarray], split: int, alike) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that are ``alike`` (shared, sizes, size): of all pairs if ``split`` is 0, else of those across ``split``.
+
+    Only pairs that the forest joins already are left out, so what is connected by alike pairs stays connected.
+    """
+    n = len(sets)
+    sizes = np.fromiter(map(len, sets), np.int64, n)
+    if n == 2:
+        shared = np.array([len(np.intersect1d(*sets, assume_unique=True))])
+        return [(0, 1)] if alike(shared, sizes[1:], sizes[0])[0] else []
+    names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    marked, group, out = np.zeros(len(names), bool), np.arange(n), []
+    for i in range(split or n - 1):
+        js = np.arange(split or i + 1, n)
+        js = js[group[js] != group[i]]
+        if not len(js):
+            continue
+        own = ids[at[i] : at[i + 1]]
+        marked[own] = True
+        heads = js[np.unique(group[js], return_index=True)[1]]  # one of each group first: most others needn't be tried then
+        for tried in (heads, js) if 2 * len(heads) < len(js) else (js,):
+            tried = tried[group[tried] != group[i]]
+            if len(tried) <= 8:
+                shared = np.array([np.count_nonzero(marked[ids[at[j] : at[j + 1]]]) for j in tried], np.int64)
+            else:
+                total = np.concatenate([[0], np.cumsum(marked[ids[at[tried[0]] :]])])
+                shared = total[at[tried + 1] - at[tried[0]]] - total[at[tried] - at[tried[0]]]
+            for j in tried[alike(shared, sizes[tried], sizes[i])].tolist():
+                if group[j] != group[i]:
+                    out.append((i, j))
+                    group[group == group[j]] = group[i]
+        marked[own] = False
+    return out
+
+
+def linked(members: DataFrame, texts: DataFrame, decode, alike) -> DataFrame:
+    """(a, b): spanning forests of the alike pairs among the members (key, t1) of each key; ``texts`` has t1, size and data.
+
+    Keys of many members or shingles are dealt into parts, and every two parts are a cell; cells are compared many in one call.
+    """
+    n, shingles = F.count("*"), F.sum(F.col("size").cast("long"))
+    counts = members.groupBy("key").agg(n.alias("n")).where("n > 1").select("key")
+    members = members.join(counts, "key").join(texts, "t1")
+    members = materialize(members.select("key", "t1", "size", "data"), "members")
+    sizes = members.groupBy("key").agg(F.ceil(F.greatest(n / F.lit(CELL), shingles / F.lit(CELL_SHINGLES))).cast("int").alias("parts")).where("parts > 1")
+    dealt = members.join(sizes, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    # a member of part p meets every part q: in the cell (p, q) or (q, p)
+    dealt = dealt.withColumn("p", F.pmod(F.xxhash64("t1"), F.col("parts")).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    total = members.agg(F.sum(F.octet_length("data") + 16)).first()[0] or 0
+    buckets = max(1, -(-total // CELL_BYTES))
+    cell = F.xxhash64("key", F.least("p", "q"), F.greatest("p", "q"))
+    dealt = dealt.select(F.pmod(cell, F.lit(buckets)).alias("bucket"), cell.alias("cell"), (F.col("parts") > 1).alias("big"), (F.col("p") <= F.col("q")).alias("left"), (F.col("p") == F.col("q")).alias("same"), "t1", "size", "data")
+    dealt = dealt.withColumn("bucket", F.when(F.col("big"), F.col("cell")).otherwise(F.col("bucket")))
+
+    def compare(key: tuple, rows: pa.Table) -> pa.Table:
+        cells, t1, left, same = rows["cell"].to_numpy(), rows["t1"].to_numpy(), rows["left"].to_numpy(), rows["same"].to_numpy()
+        order = np.lexsort((t1, ~left, cells))
+        edge = np.flatnonzero(np.concatenate([[True], np.diff(cells[order]) != 0, [True]]))
+        size, data, a, b = rows["size"].to_numpy(), rows["data"].combine_chunks(), [], []
+        for i, j in zip(edge, edge[1:], strict=False):
+            at = order[i:j]
+            split = 0 if same[at].all() else int(left[at].sum())
+            if len(at) > 1 and split < len(at):
+                for u, v in spanning([decode(data[k].as_py(), int(size[k])) for k in at.tolist()], split, alike):
+                    a.append(min(t1[at[u]], t1[at[v]]))
+                    b.append(max(t1[at[u]], t1[at[v]]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.drop("big").groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(least, t1, t2): of every group the smallest doc_id and the keys of its text; that row stays.
 
-    Texts are grouped if their sets of five-word shingles are ``similarity`` alike or more. SimHash finds the candidates:
-    fingerprints of the texts' different words, whose bits hardly move where shingles still agree by 0.8, within
-    ``WORD_DISTANCE`` bits by pigeonhole blocks. A pair at the limit is that close in three of eight families (drawn by other
-    hashes) or so, and is found unless it is in none, about once in forty. Pairs are then verified on sketches of the shingles.
+    Texts are grouped if their sets of five-word shingles are ``similarity`` alike or more. Candidates have an equal one of ``FAMILIES``
+    SimHash fingerprints, each over ``ROWS`` shingles that min-hashes select, whatever was changed and wherever: two texts s alike agree in a
+    fingerprint with probability s^ROWS, and at 0.8 in none of them three times in a million. All pairs under a fingerprint whose
+    sketches aren't far apart make groups of candidates; all pairs of such a group are then compared by their whole sets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = [profile(x.as_py()) for x in batch["text"]]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["t1"], batch["t2"], pa.array([f for f, _ in both], pa.list_(pa.int64())), pa.array([k for _, k in both], pa.binary())], names=["doc_id", "t1", "t2", "fps", "sketch"])
+            fps, sketch, size, own = zip(*(profile(x.as_py()) for x in batch["text"]), strict=True) if len(batch) else ((), (), (), ())
+            columns = [pa.array(fps, pa.list_(pa.int64())), pa.array([x[: 4 * FIRST] for x in sketch], pa.binary()), pa.array(size, pa.int32()), pa.array(own, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["t1"], batch["t2"], *columns], names=["doc_id", "t1", "t2", "fps", "sketch", "size", "shingles"])
 
-    rows = keyed(docs).select("doc_id", "t1", "t2", "text").mapInArrow(run, "doc_id long, t1 long, t2 long, fps array<long>, sketch binary")
+    rows = keyed(docs).select("doc_id", "t1", "t2", "text").mapInArrow(run, "doc_id long, t1 long, t2 long, fps array<long>, sketch binary, size int, shingles binary")
     # the rows of one text are one node, named by its key
-    texts = materialize(rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), F.min("fps").alias("fps"), F.min("sketch").alias("sketch")), "texts")
-    each = texts.select("t1", F.posexplode("fps").alias("family", "fp"))
-    first = materialize(each.groupBy("family", "fp").agg(F.min("t1").alias("head"), F.count("*").alias("n")), "fps")
-    pairs = links(first.select("family", "fp"), WORD_DISTANCE, WORD_BLOCKS, connect=near_pairs, families=FAMILIES)
-    heads = first.select("family", F.col("fp").alias("a"), F.col("head").alias("ha"))
-    across = pairs.join(heads, ["family", "a"]).join(heads.toDF("family", "b", "hb"), ["family", "b"]).select(F.col("ha").alias("a"), F.col("hb").alias("b"))
-    within = each.join(first.where("n > 1").drop("n"), ["family", "fp"]).where("t1 <> head").select(F.col("head").alias("a"), F.col("t1").alias("b"))
-    pairs = across.union(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.select(["a", "b"]).filter(pa.array([sketch_similarity(x.as_py(), y.as_py()) >= similarity for x, y in zip(batch["x"], batch["y"], strict=True)], pa.bool_()))
-
-    x = texts.select(F.col("t1").alias("a"), F.col("sketch").alias("x"))
-    y = texts.select(F.col("t1").alias("b"), F.col("sketch").alias("y"))
-    alike = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
-    roots = components(alike)
+    texts = materialize(rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("fps", "sketch", "size", "shingles"))), "texts")
+    keys = texts.select("t1", F.posexplode("fps").alias("family", "fp")).select(F.xxhash64("family", "fp").alias("key"), "t1")
+    first = texts.select("t1", F.least("size", F.lit(FIRST)).alias("size"), F.col("sketch").alias("data"))
+    near = linked(keys, first, lambda x, n: np.frombuffer(x, "<u4"), lambda shared, sizes, size: shared >= FIRST_SHARE * np.minimum(sizes, size))
+    candidates = components(near)
+    candidates = candidates.union(candidates.select(F.col("root").alias("node"), "root").distinct()).select(F.col("root").alias("key"), F.col("node").alias("t1"))
+    whole = texts.select("t1", "size", F.col("shingles").alias("data"))
+
+    def alike(shared: np.ndarray, sizes: np.ndarray, size: int) -> np.ndarray:
+        union = sizes + size - shared
+        return np.where(union > 0, shared / np.maximum(union, 1), 1.0) >= similarity
+
+    roots = components(linked(candidates, whole, lambda x, n: unpack_sorted(x, n, np.uint64), alike))
     roots = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
     named = texts.join(roots, texts["t1"] == roots["node"], "left").select("t1", "t2", "least", F.coalesce("root", "t1").alias("root"))
     # of a group stays the text with the smallest doc_id; a group without ids keeps its smallest text
