@@ -184,3 +184,18 @@ def test_long_texts_are_decided_on_all_shingles(spark, make):
         texts.append(" ".join(w))
     got, want = stay(spark, make, texts)
     assert 45 < len(want) < 75 and got == want
+
+
+def test_a_large_group_of_near_copies_collapses(spark, make):
+    """Copies of one text with two words changed: alike to it by 0.8 or more, mostly not to one another."""
+    rng = random.Random(32)
+    base = prose(rng, 110).split()
+    texts = []
+    for k in range(400):
+        w = base[:]
+        for at in rng.sample(range(110), 2 if k else 0):
+            w[at] = word(rng) + "x"
+        texts.append(" ".join(w))
+    rng.shuffle(texts)
+    got, want = stay(spark, make, texts)
+    assert len(want) == 1 and got == want
