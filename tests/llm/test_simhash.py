@@ -199,3 +199,16 @@ def test_a_large_group_of_near_copies_collapses(spark, make):
     rng.shuffle(texts)
     got, want = stay(spark, make, texts)
     assert len(want) == 1 and got == want
+
+
+def test_block_edits_and_short_texts(spark, make):
+    """Words appended, a tail replaced, a head cut off, and short texts: all that are alike by 0.8 are found."""
+    rng = random.Random(33)
+    texts = []
+    for _ in range(40):
+        for n, cut, more in ((100, 0, 15), (100, 0, 24), (300, 0, 30), (200, 20, 20), (13, 1, 1), (23, 2, 2)):
+            w = prose(rng, n).split()
+            texts += [" ".join(w), " ".join(w[: n - cut] + prose(rng, more).split())]
+        texts += [" ".join(w := prose(rng, 150).split()), " ".join(w[25:])]
+    got, want = stay(spark, make, texts)
+    assert len(want) < 300 and got == want
