@@ -212,3 +212,18 @@ def test_block_edits_and_short_texts(spark, make):
         texts += [" ".join(w := prose(rng, 150).split()), " ".join(w[25:])]
     got, want = stay(spark, make, texts)
     assert len(want) < 300 and got == want
+
+
+def test_orders_of_the_same_words(spark, make):
+    """Lists of the same words in other orders, each with a near copy that swaps two neighbours."""
+    rng = random.Random(34)
+    base = sorted({word(rng) + str(k) for k in range(110)})
+    texts = []
+    for _ in range(60):
+        w = rng.sample(base, len(base))
+        texts.append(" ".join(w))
+        at = rng.randrange(len(w) - 1)
+        w[at], w[at + 1] = w[at + 1], w[at]
+        texts.append(" ".join(w))
+    got, want = stay(spark, make, texts)
+    assert len(want) == 60 and got == want
