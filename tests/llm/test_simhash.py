@@ -227,3 +227,27 @@ def test_orders_of_the_same_words(spark, make):
         texts.append(" ".join(w))
     got, want = stay(spark, make, texts)
     assert len(want) == 60 and got == want
+
+
+def test_forests_keep_what_is_connected():
+    """Within a part and across two, against all pairs."""
+    rng = np.random.default_rng(3)
+
+    def alike(shared, sizes, size):
+        return shared >= 0.5 * (sizes + size - shared)
+
+    for trial in range(60):
+        bases = [rng.choice(4000, 30, replace=False) for _ in range(12)]
+        sets = [np.unique(np.where(rng.random(30) < rng.uniform(0, 0.4), rng.integers(0, 4000, 30), bases[rng.integers(12)])) for _ in range(90)]
+        sets += [np.empty(0, np.int64)] * 2
+        sets = [sets[k] for k in rng.permutation(len(sets))]
+        split = 0 if trial % 2 else 40
+        roots = []
+        every = [(a, b) for a in range(split or len(sets)) for b in range(split or a + 1, len(sets)) if len(np.intersect1d(sets[a], sets[b])) >= 0.5 * len(np.union1d(sets[a], sets[b]))]
+        for edges in (s.spanning(sets, split, alike), every):
+            label = list(range(len(sets)))
+            for a, b in edges:
+                label = [label[a] if x == label[b] else x for x in label]
+            first = {}
+            roots.append([first.setdefault(x, k) for k, x in enumerate(label)])
+        assert roots[0] == roots[1] and set(s.spanning(sets, split, alike)) <= set(every)

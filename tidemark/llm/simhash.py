@@ -334,7 +334,7 @@ def spanning(sets: list[np.ndarray], split: int, alike) -> list[tuple[int, int]]
             continue
         own = ids[at[i] : at[i + 1]]
         marked[own] = True
-        heads = js[np.unique(group[js], return_index=True)[1]]  # one of each group first: most others needn't be tried then
+        heads = np.sort(js[np.unique(group[js], return_index=True)[1]])  # one of each group first: most others needn't be tried then
         for tried in (heads, js) if 2 * len(heads) < len(js) else (js,):
             tried = tried[group[tried] != group[i]]
             if len(tried) <= 8:
