@@ -97,3 +97,17 @@ def test_counts_match_brute_force(spark):
     got = h.templates(h.recurring(pages(spark, rows).withColumn("host", h.host_of(F.col("url"))))).collect()
     assert {r["host"]: sorted(r["template"]) for r in got} == {k: v for k, v in want.items() if v}
     assert h.main_text(pages(spark, [])).count() == 0
+
+
+def test_rotating_banners_of_a_large_host_go(spark):
+    """Three layouts and eight banners, none on half of the pages; copies of a page and a passage of some pages stay."""
+    rng = random.Random(2)
+    rows = [(k, "https://c.example/", f"<div><div>{('One', 'Two', 'Three')[k % 3]} layout</div><ul><li>banner {k % 8}</ul></div><div><p>{prose(rng, 20)}</p></div>") for k in range(400)]
+    quoted = f"<div><p>{prose(rng, 20)}</p></div>"
+    rows += [(400 + k, "https://c.example/", f"<div><div>by {prose(rng, 3)}</div></div>{quoted}") for k in range(30)]
+    copy = f"<div>{prose(rng, 20)}</div>"
+    rows += [(500 + k, "https://c.example/", copy) for k in range(40)]
+    got = {r["page_id"]: r["text"] for r in h.main_text(pages(spark, rows)).collect()}
+    assert not [k for k in range(400) if "layout" in got[k] or "banner" in got[k] or len(got[k].split()) != 20]
+    assert all(len(got[400 + k].split("\n")) == 2 for k in range(30))
+    assert {got[500 + k] for k in range(40)} == {copy[5:-6]}

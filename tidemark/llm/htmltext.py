@@ -2,13 +2,13 @@
 
 A page becomes an element tree by a tolerant reader. Every subtree other than prose (paragraphs, headings, quotes) is
 hashed over its tags and text, and Spark counts on how many pages of a host each hash stands. Subtrees that recur on
-many pages of their host are template and are deleted. Parts that say what they are go as well, however often they stand:
+many different pages of their host are template and are deleted: half of a small host's pages, a smaller share of a large one's. Parts that say what they are go as well, however often they stand:
 navigation, headers outside the article, footers, asides, forms, scripts, styles, hidden parts, and elements whose class, id or
 role names a menu, advert, notice, sidebar, comment section and the like. Where a page has article or main elements,
 its text is what these hold. Prose inside an article is never deleted for recurring: a line that many articles quote is text.
 
 Defined results: null and empty html give an empty text; a page without blocks gives an empty text; a page with a null url
-or one without a host counts under the host ''; repeated rows count as pages each; cut-off pages are read as far as they go; an empty table
+or one without a host counts under the host ''; copies of a page on its host count once, and each gets its text; cut-off pages are read as far as they go; an empty table
 gives no rows; other columns are ignored.
 """
 
@@ -23,8 +23,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import materialize, small_batches
 
-#: A subtree is template if it stands on at least so many pages of its host and on at least this share of them.
+#: A subtree is template if it stands on at least so many different pages of its host and on at least this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.5
+#: On larger hosts so many pages are enough, or this share if it is more: for subtrees without paragraphs, and for those that hold some.
+ENOUGH, ENOUGH_PROSE = (20, 0.01), (50, 0.1)
+PARAGRAPHS = frozenset("p blockquote pre".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?|<[!?/][^>]*>?", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|\Z)""", re.I)
@@ -144,26 +147,30 @@ def visit(root: Node) -> Iterator[tuple[str, object]]:
 
 
 def subtrees(root: Node) -> dict[int, list[Node]]:
-    """The nodes of each subtree hash: elements with text, other than prose and inline ones and than what holds an article."""
+    """The nodes of each subtree hash: elements with text, other than prose and inline ones and than what holds an article.
+
+    The lowest bit of a hash says whether the subtree holds paragraphs.
+    """
     import xxhash
 
     open_, found = [], {}
     for kind, x in visit(root):
         if kind == "in":
             x.main = is_main(x)
-            open_.append([xxhash.xxh64(x.tag), False])
+            open_.append([xxhash.xxh64(x.tag), False, x.tag in PARAGRAPHS])
         elif kind == "text":
             if words := x.split():
                 open_[-1][0].update("\x00" + " ".join(words))
                 open_[-1][1] = True
         else:
-            h, text = open_.pop()
+            h, text, prose = open_.pop()
             if open_:
                 open_[-1][0].update(h.digest())
                 open_[-1][1] |= text
+                open_[-1][2] |= prose and text
                 x.parent.main |= x.main
             if text and not x.main and x.tag not in PROSE and x.tag not in INLINE and x.tag not in KEPT_WHOLE and x.tag not in SHUT:
-                value = h.intdigest()
+                value = h.intdigest() & ~1 | prose
                 found.setdefault(value - (1 << 64) if value >> 63 else value, []).append(x)
     return found
 
@@ -228,26 +235,32 @@ HOT_SHARE, HOT_PARTS = 1000, 256
 
 
 def recurring(pages: DataFrame) -> DataFrame:
-    """(host, h, n): on how many pages of its host each subtree stands, where on enough to be template; h = 0 counts pages."""
+    """(host, h, n): on how many different pages of its host each subtree stands, where on enough to be template; h = 0 counts pages."""
+    import xxhash
+
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes = [], []
+            hosts, hashes, names = [], [], []
             for host, page in zip(batch["host"].to_pylist(), batch["html"], strict=True):
-                own = [0, *subtrees(parse(page.as_py() or ""))]  # 0 stands for the page itself
+                text = page.as_py() or ""
+                own = [0, *subtrees(parse(text))]  # 0 stands for the page itself
+                names += [xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1] * len(own)
                 hosts += [host] * len(own)
                 hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "h"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(names, pa.int64())], names=["host", "h", "page"])
 
-    counts = pages.select("host", "html").mapInArrow(run, "host string, h long").groupBy("host", "h").agg(F.count("*").alias("n"))
+    counts = pages.select("host", "html").mapInArrow(run, "host string, h long, page long").groupBy("host", "h").agg(F.count_distinct("page").alias("n"))
     return materialize(counts.where((F.col("h") == 0) | (F.col("n") >= MIN_PAGES)), "subtrees")
 
 
 def templates(counts: DataFrame) -> DataFrame:
-    """(host, template): the hashes of each host's recurring subtrees. At a share of one half there are at most
-    twice as many as an average page of the host has subtrees."""
+    """(host, template): the hashes of each host's recurring subtrees. At a share of a hundredth there are at most
+    a hundred times as many as an average page of the host has subtrees."""
     total = counts.where("h = 0").select("host", F.col("n").alias("pages"))
-    many = counts.where("h <> 0").join(total, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
+    enough = lambda least, share: F.least(MIN_SHARE * F.col("pages"), F.greatest(F.lit(least), share * F.col("pages")))
+    prose = F.col("h").bitwiseAND(1) == 1
+    many = counts.where("h <> 0").join(total, "host").where(F.col("n") >= F.when(prose, enough(*ENOUGH_PROSE)).otherwise(enough(*ENOUGH)))
     return many.groupBy("host").agg(F.collect_set("h").alias("template"))
 
 
