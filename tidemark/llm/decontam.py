@@ -5,7 +5,8 @@ Postings lie in blocks of items with the largest impact of each block. Every pas
 stride that no item spans) is a query. A vectorised form of WAND's bound comes first: the shares of the rare words
 that a passage has from an item, plus all that the common words could add, must reach the threshold for one item at
 least. Passages that pass go through block-max WAND, which returns all items above the threshold, and these are
-verified: the share of the item's five-word shingles, of its question and of its answer, that the passage holds.
+verified: a hit holds 0.8 of the item's five-word shingles. The shares of its question and of its answer are computed and returned,
+but decide nothing: a whole question with another answer is no hit where it is less than 0.8 of the item.
 
 The index goes to the executors in chunks of at most ``CHUNK_BYTES`` of item text, one pass over the documents a chunk: a bound
 that is checked and doesn't grow with the benchmark.
