@@ -77,3 +77,13 @@ def test_slices_lose_no_ngram(monkeypatch):
     whole = g.columns(text).tolist()
     monkeypatch.setattr(g, "SLICE", 7)
     assert g.columns(text).tolist() == whole
+
+
+def test_scores_do_not_depend_on_batches(spark):
+    data = rows(150)
+    model = g.train(frame(spark, data))
+    texts = [t for _, t, _ in data] + [None, "", "12"]
+    names, scores = model.predict(texts)
+    for size in (1, 7):
+        parts = [model.predict(texts[k : k + size]) for k in range(0, len(texts), size)]
+        assert [x for n, _ in parts for x in n] == names and [x for _, s in parts for x in s.tolist()] == scores.tolist()

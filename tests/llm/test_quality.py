@@ -98,3 +98,69 @@ def test_repeated_words_have_a_unit_of_their_own():
     once, again = q.histogram("ba ko mi tu", units)[0], q.histogram("ba ba ko ko mi", units)[0]
     assert again[q.AGAIN] - once[q.AGAIN] == pytest.approx(0.5, abs=0.1)
     assert q.histogram("one", units)[0].sum() == pytest.approx(1)
+
+
+def test_scores_do_not_depend_on_batches(trained, corpus):
+    rows, _, model = trained
+    texts = [t for _, t in rows[:200]] + [t for _, t in corpus]
+    whole = model.score(texts)
+    for size in (1, 7, 128):
+        parts = np.concatenate([model.score(texts[k : k + size]) for k in range(0, len(texts), size)])
+        assert parts.tolist() == whole.tolist()
+
+
+def test_score_against_loops(trained):
+    """The whole way from a text to its score in plain Python."""
+    import math
+
+    rows, _, model = trained
+    for text in [rows[0][1], rows[1][1], "One two two.", ""]:
+        units, words = q.Units(), text.encode().split()
+        ids = [[int(u) for u in row] for row in units.of(words)] if words else []
+        x = [0.0] * (2 * q.DIM)
+        for k in range(q.DIM):
+            x[k] = sum(model.table[u][k] for row in ids for u in row) / max(1, 4 * len(ids))
+            if len(ids) > 1:
+                x[k] += sum(a[0] == b[0] for a, b in zip(ids, ids[1:])) / (len(ids) - 1) * model.table[q.AGAIN][k]
+            x[q.DIM + k] = sum(model.context[row[0]][k] for row in ids) / max(1, len(ids))
+        z = [(v - m) / s for v, m, s in zip(x, model.mean, model.scale)]
+        h = [math.tanh(sum(v * w for v, w in zip(z, model.w1[:, j])) + model.b1[j]) for j in range(q.HIDDEN)]
+        logit = sum(v * w for v, w in zip(h, model.w2)) + model.b2
+        assert model.score([text])[0] == pytest.approx(1 / (1 + math.exp(-logit / model.temperature)), abs=1e-3)
+
+
+def test_gradients_against_differences():
+    rng = np.random.default_rng(4)
+    z, t = rng.normal(size=(9, 5)), rng.integers(0, 2, 9).astype(float)
+    p = {"w1": rng.normal(size=(5, 3)), "b1": rng.normal(size=3), "w2": rng.normal(size=3), "b2": rng.normal(size=1)}
+
+    def loss():
+        v = np.tanh(z @ p["w1"] + p["b1"]) @ p["w2"] + p["b2"]
+        return np.mean(np.logaddexp(0, v) - t * v) + 0.5e-3 * ((p["w1"] ** 2).sum() + (p["w2"] ** 2).sum())
+
+    for k, g in q.gradients(p, z, t).items():
+        for at in np.ndindex(g.shape):
+            old, step = p[k][at], 1e-6
+            p[k][at] = old + step
+            up = loss()
+            p[k][at] = old - step
+            down = loss()
+            p[k][at] = old
+            assert g[at] == pytest.approx((up - down) / (2 * step), abs=1e-6)
+
+
+def test_temperature_is_a_least_one(trained):
+    rng = np.random.default_rng(5)
+    truth = rng.integers(0, 2, 4000).astype(float)
+    for true in (0.05, 1.0, 30.0):
+        v = rng.normal(size=4000) * 3
+        truth = (rng.random(4000) < 1 / (1 + np.exp(-v))).astype(float)
+        assert q.calibrate(v * true, truth) == pytest.approx(true, rel=0.15)
+    assert 0 < q.calibrate(np.array([-5.0, 5.0] * 50), np.array([0.0, 1.0] * 50)) < np.exp(19)
+    assert np.exp(-19) < trained[2].temperature < np.exp(19)
+
+
+def test_long_words_count_whole():
+    units = q.Units()
+    a, b = b"x1" * 40 + b"A.", b"x1" * 40 + b".A"
+    assert units[a][2:4] != units[b][2:4]
