@@ -79,3 +79,67 @@ def test_rotations_are_orthogonal():
     for k in range(0, c.turn.shape[1], 16):
         r = c.turn[:, k : k + 16]
         assert np.allclose(r.T @ r, np.eye(16), atol=1e-9)
+
+
+def clustered(rng, n, dims=32, centres=40):
+    c = rng.normal(size=(centres, dims))
+    return [(k, (c[rng.integers(centres)] + rng.normal(size=dims) * 0.25).tolist()) for k in range(n)]
+
+
+def test_probes_bring_up_few_rows_of_clustered_vectors():
+    """Recall by the index alone, and how many rows its tables were asked for."""
+    rng = np.random.default_rng(6)
+    x = np.array([v for _, v in clustered(rng, 4000)])
+    codes = ann.learn(x[:1000], 12)
+    code = codes.encode(x)
+    index = ann.MultiIndex(np.stack([codes.values(code, j) for j in range(codes.substrings)], axis=1), codes.width)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    share, hits = [], 0
+    for q in range(0, 4000, 50):
+        rows = index.probe(index.codes[q], 1)
+        share.append(len(rows) / len(x))
+        hits += len(set(np.argsort(-(unit @ unit[q]), kind="stable")[1:6]) & set(rows))
+    assert hits / (5 * len(share)) >= 0.9 and np.mean(share) < 0.1
+    assert index.looked_at < 0.05 * len(share) * len(x) * codes.substrings  # of what a scan of each table would look at
+
+
+@pytest.mark.parametrize("part", [16384, 5])
+def test_every_row_against_brute_force(spark, monkeypatch, part):
+    """Clustered vectors in many buckets, some of which are dealt over parts; every row is a query."""
+    monkeypatch.setattr(ann, "PART_QUERIES", part)
+    monkeypatch.setattr(ann, "BLOCK_BYTES", 64 << 20 if part > 5 else 50_000)
+    rows = clustered(np.random.default_rng(7), 500, 16, 10)
+    want = exact(rows, set(range(500)))
+    got = {}
+    for r in ann.nearest(frame(spark, rows), F.lit(True), 5, 40).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert all(len(v) == 5 for v in got.values()) and len(got) == 500
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) / 2500 >= 0.9
+    best = {q: dict(v) for q, v in want.items()}
+    assert all(s == best[q][i] for q, v in got.items() for i, s in v if i in best[q])
+
+
+def test_repeated_queries_and_two_vectors_of_one_id(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=16).tolist()) for k in range(60)]
+    once = {q: [i for i, _ in v] for q, v in exact(rows, {0, 50}).items()}
+    other = rng.normal(size=16).tolist()
+    twice = [*rows, rows[0], rows[0], (50, other)]
+    got = {}
+    for r in ann.nearest(frame(spark, twice), F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    want = {q: v for q, v in exact([r for r in twice if r[0] != 50 or r[1] is not other], {0}).items()}
+    assert [i for i, _ in got[0]][:1] == once[0][:1] and len(got[0]) == 5 and 0 not in dict(got[0])
+    assert {i for i, _ in got[0]} <= {i for i, _ in want[0]} | {50}
+    # query 50 asks with both vectors: the larger cosine of each row counts, and none of its own rows is found
+    a, b = np.array(rows[50][1], np.float32).astype(float), np.array(other, np.float32).astype(float)
+    cos = lambda x, y: (x * y).sum() / (np.sqrt((x * x).sum()) * np.sqrt((y * y).sum()))
+    each = [(-max(cos(np.array(v, np.float32).astype(float), a), cos(np.array(v, np.float32).astype(float), b)), i) for i, v in [*rows, rows[0], rows[0]] if i != 50]
+    assert [(i, s) for i, s in got[50]] == [(i, -s) for s, i in sorted(each)[:5]]
+
+
+def test_lengths_are_searched_apart(spark):
+    rng = np.random.default_rng(9)
+    rows = [(k, rng.normal(size=8 if k % 2 else 16).tolist()) for k in range(40)]
+    for r in ann.nearest(frame(spark, rows), F.lit(True), 3).collect():
+        assert r["query_id"] % 2 == r["vec_id"] % 2

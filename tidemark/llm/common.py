@@ -135,6 +135,11 @@ def unpack_sorted(b: bytes, n: int, dtype) -> np.ndarray:
     return np.cumsum(unpack(b, n, dtype), dtype=dtype)
 
 
+def fixed(x: np.ndarray, bits: int) -> np.ndarray:
+    """``x`` rounded to ``bits`` binary digits after the point. Sums of products of such numbers are exact in any order while they fit 53 bits."""
+    return np.rint(np.asarray(x, np.float64) * (1 << bits)) / (1 << bits)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A finaliser: every bit of the result depends on every bit of ``h``."""
     h = h ^ (h >> np.uint64(32))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import small_batches
+from .common import fixed, small_batches
 
 DIM, LENGTHS = 1 << 14, (1, 2, 3, 4)
 PER_LANGUAGE, LANDMARKS, RIDGE, SHARPNESS, FOLDS, ROWS = 600, 48, 1e-2, 6.0, 5, 64
@@ -79,7 +79,7 @@ class Model:
     weights: np.ndarray  # landmarks x languages
 
     def __post_init__(self):
-        self.product = np.rint(self.landmarks.astype(np.float64) @ self.weights.astype(np.float64) * (1 << DIGITS)) / (1 << DIGITS)
+        self.product = fixed(self.landmarks.astype(np.float64) @ self.weights.astype(np.float64), DIGITS)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [], np.zeros(len(texts))

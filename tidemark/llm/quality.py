@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import materialize, small_batches
+from .common import fixed, materialize, small_batches
 
 BUCKETS, DIM, HIDDEN, NONZERO = 4096, 96, 32, 6
 MAX_TRAIN, EPOCHS, SEED = 6000, 60, 17
@@ -45,11 +45,6 @@ PACK = struct.Struct("<4H").pack
 RUNS = re.compile(rb"(.)\1+", re.S)
 
 
-def fixed(x: np.ndarray, bits: int) -> np.ndarray:
-    """``x`` rounded to ``bits`` binary digits after the point."""
-    return np.rint(np.asarray(x, np.float64) * (1 << bits)) / (1 << bits)
-
-
 def index_vectors(buckets: int = BUCKETS, dim: int = DIM, nonzero: int = NONZERO) -> np.ndarray:
     """Sparse vectors of -1 and 1, the same in every process."""
     rng = np.random.default_rng(SEED)
