@@ -111,3 +111,39 @@ def test_rotating_banners_of_a_large_host_go(spark):
     assert not [k for k in range(400) if "layout" in got[k] or "banner" in got[k] or len(got[k].split()) != 20]
     assert all(len(got[400 + k].split("\n")) == 2 for k in range(30))
     assert {got[500 + k] for k in range(40)} == {copy[5:-6]}
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<div id="content" class="has-sidebar"><p>Real text.</p></div>', "Real text."),
+        ('<p class="search">How to search.</p><div class="search">no</div>', "How to search."),
+        ('<h2 class="comment">A comment on menus</h2><p class="advert">no</p>yes', "A comment on menus\nyes"),
+        ('<div class="no-menu with-footer"><p>yes</p></div>', "yes"),
+    ],
+)
+def test_names_of_things_near_or_told_of_delete_nothing(page, text):
+    assert h.extract(page) == text
+
+
+def test_templates_on_two_pages_of_five(spark):
+    """Opaque names and tags that say nothing: a menu on 40 % of the pages, a notice of ten texts in one slot, a table and a list in the text."""
+    rng = random.Random(4)
+    menu = "<div class=x1><ul><li>Start<li>Prices<li>About us</ul></div>"
+    rows = []
+    for k in range(60):
+        notice = f"<div class=x2><div class=x3><b>Note</b> offer number {k % 10}</div></div>"
+        body = f"<div class=x4><p>{prose(rng, 25)}</p><table><tr><td>0<td>1</table><ul><li>first<li>{prose(rng, 2)}</ul></div>"
+        rows.append((k, "https://d.example/", (menu if k % 5 < 2 else "") + notice + body + f"<div class=x5>by {prose(rng, 3)}</div>"))
+    got = {r["page_id"]: r["text"].split("\n") for r in h.main_text(pages(spark, rows)).collect()}
+    for lines in got.values():
+        assert not [x for x in lines if x.startswith(("Start", "Prices", "About", "Note"))]
+        assert len(lines) == 4 and len(lines[0].split()) == 25 and lines[1] == "first" and lines[3].startswith("by ")
+
+
+def test_rare_notices_of_one_slot_go(spark):
+    """Thirty texts in one slot, each on four pages: no text is on enough pages, but the slot is."""
+    rng = random.Random(5)
+    rows = [(k, "https://e.example/", f"<div class=s><div>offer {k % 30}</div></div><div class=t>{prose(rng, 12)}</div>") for k in range(120)]
+    got = {r["page_id"]: r["text"] for r in h.main_text(pages(spark, rows)).collect()}
+    assert all(len(t.split()) == 12 for t in got.values())

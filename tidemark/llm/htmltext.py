@@ -1,8 +1,15 @@
 """Main text of web pages, without site templates.
 
-A page becomes an element tree by a tolerant reader. Every subtree other than prose (paragraphs, headings, quotes) is
-hashed over its tags and text, and Spark counts on how many pages of a host each hash stands. Subtrees that recur on
-many different pages of their host are template and are deleted: half of a small host's pages, a smaller share of a large one's. Parts that say what they are go as well, however often they stand:
+A page becomes an element tree by a tolerant reader. Every subtree other than prose (paragraphs, headings, quotes), lines of
+lists and tables and what holds an article is hashed twice: over its tags and text, and over its shape alone (tags, classes, children).
+Spark counts by host on how many different pages each hash stands, and of each shape also how many texts it has. Deleted are
+
+* subtrees that stand on ``MIN_PAGES`` pages or more and ``MIN_SHARE`` of their host's: menus, banners, notices, rotating ones, too;
+  those that hold paragraphs or stand in an article only from half of the pages on (on large hosts ``ENOUGH_CAREFUL``);
+* subtrees without paragraphs outside an article that recur at all (on two pages and ``SLOT_SHARE``), if their shape stands on half of the
+  pages or more with few texts (a quarter as many at most): slots that are filled in turn.
+
+What the counts can't tell (parts of small hosts, parts with a text of their own on each page) goes by what it says of itself:
 navigation, headers outside the article, footers, asides, forms, scripts, styles, hidden parts, and elements whose class, id or
 role names a menu, advert, notice, sidebar, comment section and the like. Where a page has article or main elements,
 its text is what these hold. Prose inside an article is never deleted for recurring: a line that many articles quote is text.
@@ -24,9 +31,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import materialize, small_batches
 
 #: A subtree is template if it stands on at least so many different pages of its host and on at least this share of them.
-MIN_PAGES, MIN_SHARE = 5, 0.5
-#: On larger hosts so many pages are enough, or this share if it is more: for subtrees without paragraphs, and for those that hold some.
-ENOUGH, ENOUGH_PROSE = (20, 0.01), (50, 0.1)
+MIN_PAGES, MIN_SHARE = 5, 0.01
+#: With paragraphs or in an article half of the pages; on larger hosts so many pages are enough, or this share if it is more.
+HALF, ENOUGH_CAREFUL = 0.5, (50, 0.1)
+#: A shape on half of the pages is a slot of the template if it has at most this share of texts; a text in it goes from two pages and this share on.
+SLOT_TEXTS, SLOT_SHARE = 0.25, 0.001
 PARAGRAPHS = frozenset("p blockquote pre".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?|<[!?/][^>]*>?", re.S)
@@ -40,6 +49,8 @@ UNBROKEN = frozenset("script style noscript template button select input textare
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre br hr".split())
 #: An opening tag ends those open elements of its set, up to the nearest element of the second.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+#: Lines of lists and tables: they go with their list or table, not one by one.
+CELLS = frozenset("li td th tr dt dd option caption thead tbody tfoot".split())
 SHUT = frozenset("nav footer aside form script style noscript template button select iframe svg math head title dialog menu textarea object canvas audio video map datalist xmp noembed noframes".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 NAMES = frozenset(
@@ -47,14 +58,18 @@ NAMES = frozenset(
     " menu nav navbar navigation breadcrumb breadcrumbs sidebar aside widget widgets related recommended recommendations share sharing social comment comments commentlist respond replies disqus"
     " footer newsletter subscribe subscription signup login search pagination pager masthead topbar toolbar".split()
 )
+#: What a paragraph or heading must be named to be none of the article: other names may be its subject.
+PROSE_NAMES = frozenset("ad ads advert adverts advertisement advertisements sponsored cookie cookies".split())
+#: A class that begins so says what an element has near it or in what state it is, not what it is.
+STATES = frozenset("has with without no not is js".split())
 KEPT_WHOLE = frozenset(["html", "body", "main", "#root"])
 
 
 class Node:
-    __slots__ = ("attrs", "items", "main", "parent", "tag")
+    __slots__ = ("attrs", "items", "main", "own_traits", "parent", "shape", "tag")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
-        self.tag, self.attrs, self.parent, self.items, self.main = tag, attrs, parent, [], False
+        self.tag, self.attrs, self.parent, self.items, self.main, self.own_traits, self.shape = tag, attrs, parent, [], False, None, 0
 
 
 def parse(page: str) -> Node:
@@ -112,7 +127,9 @@ def parse(page: str) -> Node:
 
 
 def traits(node: Node) -> dict[str, str]:
-    return {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(node.attrs)} if node.attrs else {}
+    if node.own_traits is None:
+        node.own_traits = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(node.attrs)} if node.attrs else {}
+    return node.own_traits
 
 
 def shut(node: Node, in_article: bool) -> bool:
@@ -124,7 +141,10 @@ def shut(node: Node, in_article: bool) -> bool:
     t = traits(node)
     if "hidden" in t or t.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", t.get("style", "")):
         return True
-    words = set(WORD.findall(f"{t.get('class', '')} {t.get('id', '')}"))
+    names = [WORD.findall(name) for name in f"{t.get('class', '')} {t.get('id', '')}".split()]
+    words = {w for name in names if name and name[0] not in STATES for w in name}
+    if node.tag in PROSE:
+        return t.get("role") in ROLES or bool(words & PROSE_NAMES)
     return t.get("role") in ROLES or bool(words & NAMES) or "header" in words and not in_article and node.tag != "article"
 
 
@@ -147,41 +167,52 @@ def visit(root: Node) -> Iterator[tuple[str, object]]:
 
 
 def subtrees(root: Node) -> dict[int, list[Node]]:
-    """The nodes of each subtree hash: elements with text, other than prose and inline ones and than what holds an article.
+    """The nodes of each subtree hash, each with its ``shape``: elements with text, other than prose, inline ones, lines of lists and tables and what holds an article.
 
-    The lowest bit of a hash says whether the subtree holds paragraphs.
+    The lowest bit of a hash and a shape says whether the subtree holds paragraphs or stands in an article.
     """
     import xxhash
 
-    open_, found = [], {}
+    inside, found = 0, {}
+    open_: list[list] = []
+    signed = lambda h, careful: (v - (1 << 64) if (v := h.intdigest() & ~1 | careful) >> 63 else v)
     for kind, x in visit(root):
         if kind == "in":
             x.main = is_main(x)
-            open_.append([xxhash.xxh64(x.tag), False, x.tag in PARAGRAPHS])
+            inside += x.main
+            shape = xxhash.xxh64(f"{x.tag} {traits(x).get('class', '')}")
+            open_.append([xxhash.xxh64(x.tag), shape, False, x.tag in PARAGRAPHS, x.main, b""])
         elif kind == "text":
             if words := x.split():
                 open_[-1][0].update("\x00" + " ".join(words))
-                open_[-1][1] = True
+                open_[-1][2] = True
         else:
-            h, text, prose = open_.pop()
+            h, shape, text, prose, own, _ = open_.pop()
+            inside -= own
+            if text:
+                shape.update(b"\x00")
             if open_:
-                open_[-1][0].update(h.digest())
-                open_[-1][1] |= text
-                open_[-1][2] |= prose and text
+                above = open_[-1]
+                above[0].update(h.digest())
+                if (digest := shape.digest()) != above[5]:  # children of one shape in a row count once
+                    above[1].update(digest)
+                    above[5] = digest
+                above[2] |= text
+                above[3] |= prose and text
                 x.parent.main |= x.main
-            if text and not x.main and x.tag not in PROSE and x.tag not in INLINE and x.tag not in KEPT_WHOLE and x.tag not in SHUT:
-                value = h.intdigest() & ~1 | prose
-                found.setdefault(value - (1 << 64) if value >> 63 else value, []).append(x)
+            if text and not x.main and x.tag not in PROSE and x.tag not in INLINE and x.tag not in KEPT_WHOLE and x.tag not in CELLS:
+                careful = prose or inside > 0
+                x.shape = signed(shape, careful)
+                found.setdefault(signed(h, careful), []).append(x)
     return found
 
 
 def extract(page: str | None, template: set[int] | None = None) -> str:
-    """The page's blocks, a line each."""
+    """The page's blocks, a line each, without the subtrees whose hash is in ``template``."""
     if not page:
         return ""
     root = parse(page)
-    found = subtrees(root)
-    gone = {id(n) for h in template or () for n in found.get(h, ())}
+    gone = {id(n) for h, nodes in subtrees(root).items() if h in template for n in nodes} if template else set()
     whole, blocks = _blocks(root, gone)
     return "\n".join(blocks if blocks or whole else [])
 
@@ -230,37 +261,42 @@ def host_of(column) -> object:
     return F.lower(F.coalesce(F.regexp_extract(column, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
 
 
-#: A host with this share of all pages is hot: there are HOT_SHARE at most. Its pages are dealt over HOT_PARTS.
-HOT_SHARE, HOT_PARTS = 1000, 256
+#: A host with more than this share of all pages is hot: there are HOT_SHARE at most. Its pages are dealt over parts of this share.
+HOT_SHARE = 1000
 
 
 def recurring(pages: DataFrame) -> DataFrame:
-    """(host, h, n): on how many different pages of its host each subtree stands, where on enough to be template; h = 0 counts pages."""
+    """(host, h, shape, n): on how many different pages of its host each subtree stands; h = 0 counts pages."""
     import xxhash
 
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes, names = [], [], []
+            hosts, hashes, shapes, names = [], [], [], []
             for host, page in zip(batch["host"].to_pylist(), batch["html"], strict=True):
                 text = page.as_py() or ""
-                own = [0, *subtrees(parse(text))]  # 0 stands for the page itself
+                found = subtrees(parse(text))
+                own = [(0, 0), *{(h, n.shape) for h, nodes in found.items() for n in nodes}]  # 0 stands for the page itself
                 names += [xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1] * len(own)
                 hosts += [host] * len(own)
-                hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(names, pa.int64())], names=["host", "h", "page"])
+                hashes += [h for h, _ in own]
+                shapes += [x for _, x in own]
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (hashes, shapes, names))], names=["host", "h", "shape", "page"])
 
-    counts = pages.select("host", "html").mapInArrow(run, "host string, h long, page long").groupBy("host", "h").agg(F.count_distinct("page").alias("n"))
-    return materialize(counts.where((F.col("h") == 0) | (F.col("n") >= MIN_PAGES)), "subtrees")
+    counts = pages.select("host", "html").mapInArrow(run, "host string, h long, shape long, page long").groupBy("host", "h", "shape").agg(F.count_distinct("page").alias("n"))
+    return materialize(counts, "subtrees")
 
 
 def templates(counts: DataFrame) -> DataFrame:
-    """(host, template): the hashes of each host's recurring subtrees. At a share of a hundredth there are at most
-    a hundred times as many as an average page of the host has subtrees."""
+    """(host, template): the hashes of each host's recurring subtrees. At the shares asked for there are at most a hundred
+    times as many as an average page of the host has subtrees, and in slots a thousand times."""
     total = counts.where("h = 0").select("host", F.col("n").alias("pages"))
-    enough = lambda least, share: F.least(MIN_SHARE * F.col("pages"), F.greatest(F.lit(least), share * F.col("pages")))
-    prose = F.col("h").bitwiseAND(1) == 1
-    many = counts.where("h <> 0").join(total, "host").where(F.col("n") >= F.when(prose, enough(*ENOUGH_PROSE)).otherwise(enough(*ENOUGH)))
+    careful = F.col("h").bitwiseAND(1) == 1
+    half = F.least(HALF * F.col("pages"), F.greatest(F.lit(ENOUGH_CAREFUL[0]), ENOUGH_CAREFUL[1] * F.col("pages")))
+    recur = counts.where("h <> 0 and n > 1").join(total, "host").where(F.col("n") >= SLOT_SHARE * F.col("pages"))
+    enough = (F.col("n") >= MIN_PAGES) & (F.col("n") >= F.when(careful, half).otherwise(MIN_SHARE * F.col("pages")))
+    shapes = counts.where("h <> 0").where(~careful).groupBy("host", "shape").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).where((F.col("n") >= MIN_PAGES) & (F.col("texts") <= SLOT_TEXTS * F.col("n")))
+    slots = shapes.join(total, "host").where(F.col("n") >= HALF * F.col("pages")).select("host", "shape", F.lit(True).alias("slot"))
+    many = recur.join(slots, ["host", "shape"], "left").where(enough | F.col("slot"))
     return many.groupBy("host").agg(F.collect_set("h").alias("template"))
 
 
@@ -273,11 +309,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     counts = recurring(pages)
     sizes = counts.where("h = 0").select("host", "n")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    hot = F.broadcast(sizes.where(F.col("n") * HOT_SHARE >= total).select("host", F.lit(True).alias("hot")))  # HOT_SHARE rows at most
-    part = F.when(F.col("hot"), F.pmod(F.xxhash64("page_id", "url"), F.lit(HOT_PARTS))).otherwise(0).cast("int")
-    left = pages.join(hot, "host", "left").select("page_id", "url", "html", "host", part.alias("part"))
-    parts = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0))))
-    right = templates(counts).join(hot, "host", "left").select("host", "template", parts.alias("part"))
+    hot = F.broadcast(sizes.where(F.col("n") * HOT_SHARE >= total).select("host", F.ceil(F.col("n") * HOT_SHARE / total).cast("int").alias("parts")))  # HOT_SHARE rows at most
+    parts = F.coalesce("parts", F.lit(1))
+    left = pages.join(hot, "host", "left").select("page_id", "url", "html", "host", F.pmod(F.xxhash64("page_id", "url"), parts).cast("int").alias("part"))
+    right = templates(counts).join(hot, "host", "left").select("host", "template", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
