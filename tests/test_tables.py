@@ -85,3 +85,18 @@ def test_pointer_is_replaced(spark, tmp_path):
 def test_malformed_messages_are_dropped(spark):
     df = spark.createDataFrame([('{"trans_num":"a","event_ts":"2024-01-01T00:00:00","amt":1}',), ("{broken",), ('{"trans_num":"b","event_ts":"soon"}',), (None,)], "value string")
     assert [r["trans_num"] for r in feeds.decode_events(df).collect()] == ["a"]
+
+
+def test_replaced_partitions(spark, tmp_path):
+    """Named partitions are new or gone, the others keep their files."""
+    table = Table(spark, f"file://{tmp_path}/r", ["k"])
+    frame = lambda rows: spark.createDataFrame(rows, "v int, k int")
+    table.replace(frame([(1, 0), (2, 1), (3, 2)]), ["k=0", "k=1", "k=2"])
+    before = {f for f in table.read().inputFiles() if "/k=2/" in f}
+    out = table.replace(frame([(4, 1), (5, 1), (6, 3)]), ["k=0", "k=1", "k=3"])
+    assert sorted(map(tuple, out.collect())) == [(3, 2), (4, 1), (5, 1), (6, 3)]
+    assert table.partitions() == ["k=1", "k=2", "k=3"]
+    assert {f for f in table.read().inputFiles() if "/k=2/" in f} == before
+    with pytest.raises(AuditError):
+        table.replace(frame([(7, 9)]), ["k=1"])
+    assert sorted(map(tuple, table.read().collect())) == [(3, 2), (4, 1), (5, 1), (6, 3)]

@@ -142,6 +142,24 @@ class Table:
         self._name(manifest)
         return staged
 
+    def replace(self, rows: DataFrame, partitions: Sequence[str], audit: Callable[[DataFrame], None] | None = None) -> DataFrame:
+        """``partitions`` (as "day=2020-01-01") hold the rows of ``rows`` and nothing else from now on, those without rows
+        are gone, and all others stay as they are, unread. ``rows`` must not have rows of other partitions."""
+        manifest = self._manifest()
+        kept = {p: v for p, v in (manifest["partitions"] if manifest else {}).items() if p not in set(partitions)}
+        fresh = self._stage(rows)
+        if audit is not None:
+            audit(self._open(fresh))
+        if stray := set(fresh["partitions"]) - set(partitions):
+            raise AuditError(f"rows of other partitions: {sorted(stray)[:5]}")
+        merged = fresh | {"partitions": kept | fresh["partitions"]}
+        self._name(merged)
+        return self._open(merged)
+
+    def partitions(self) -> list[str]:
+        manifest = self._manifest()
+        return sorted(manifest["partitions"]) if manifest else []
+
     def upsert(self, rows: DataFrame, keys: Sequence[str], batch_id: int | str | None = None, audit: Callable[[DataFrame], None] | None = None) -> DataFrame:
         """Rows of ``rows`` replace those with equal keys. A batch whose id was the last one applied is not applied again.
 
