@@ -102,3 +102,53 @@ def test_files_are_rewritten(spark, make, corpus, tmp_path):
         assert place[r["doc_id"], r["h"]] == r["shard"] or (r["doc_id"], r["text"]) in [x for x in corpus if corpus.count(x) > 1]
     if touched == {0, 1, 2, 3}:
         assert back.count() == len(corpus)
+
+
+def carried_out(spark, docs, n_old, n_new, path):
+    old = F.pmod(F.xxhash64("doc_id"), F.lit(n_old))
+    plan = s.materialize(s.reshard(docs, old, n_old, n_new), "plan")
+    touched = {r["shard"] for r in s.rewrite(docs, plan, old, path).collect()}
+    back = s.read_shards(spark, path)
+    assert back.columns == [*docs.columns, "to_shard"]
+    where = lambda df, shard: sorted((str(r["doc_id"]), str(r["text"]), r[shard]) for r in df.collect())
+    keyed = docs.select(F.col("doc_id").alias("d"), "text", F.xxhash64("doc_id", "text").alias("r")).distinct()
+    planned = plan.join(keyed, plan["doc_id"].eqNullSafe(keyed["d"]) & (plan["row_hash"] == keyed["r"])).select(plan["doc_id"], "text", "shard")
+    assert where(back, "to_shard") == where(planned, "shard")
+    assert sorted(map(str, back.drop("to_shard").collect())) == sorted(map(str, docs.collect()))
+    return touched, plan
+
+
+@pytest.mark.parametrize(("n_old", "n_new"), [(16, 12), (4, 2), (3, 5)])
+def test_rewritten_shards_hold_every_row_once(spark, make, corpus, tmp_path, n_old, n_new):
+    """Growing and shrinking, with repeated rows and a column named shard; the second plan starts from the first one's files."""
+    docs = make([*corpus, *[(None, "repeated")] * 70, *[(9, "again")] * 5])
+    path = f"file://{tmp_path}/shards"
+    touched, _ = carried_out(spark, docs, n_old, n_new, path)
+    assert touched >= set(range(n_new)) and not [p for p in s.shard_table(spark, path).partitions() if int(p[6:]) >= n_new]
+
+
+def test_only_touched_shards_are_written(spark, make, tmp_path):
+    """Shards that a plan leaves alone keep their files; one that it empties is dropped."""
+    rows = [(k, "z" * 20) for k in range(90)]
+    docs, path = make(rows), f"file://{tmp_path}/shards"
+    lie = {k: k % 3 for k in range(90)}
+    frame = lambda where: s.materialize(docs.select("doc_id", F.lit(21).cast("long").alias("size"), F.lit(0).cast("long").alias("text_crc32"), F.xxhash64("doc_id", "text").alias("row_hash"), F.pmod("doc_id", F.lit(3)).cast("int").alias("old"), where.cast("int").alias("shard")), "plan")
+    old = F.pmod("doc_id", F.lit(3))
+    s.rewrite(docs, frame(old), old, path)
+    table = s.shard_table(spark, path)
+    before = {f for f in table.read().inputFiles() if "/shard=0/" in f}
+    touched = {r["shard"] for r in s.rewrite(docs, frame(F.when(old == 2, 1).otherwise(old)), old, path).collect()}
+    assert touched == {1, 2} and table.partitions() == ["shard=0", "shard=1"]
+    assert {f for f in table.read().inputFiles() if "/shard=0/" in f} == before
+    got = {r["doc_id"]: r["to_shard"] for r in s.read_shards(spark, path).collect()}
+    assert got == {k: min(x, 1) for k, x in lie.items()}
+
+
+def test_slots_of_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(s, "SLOT_ROWS", 7)
+    monkeypatch.setattr(s, "REPEAT_ROWS", 4)
+    rows = spark.createDataFrame([(1, 2, 3, 4, 0)] * 30 + [(k, 2, 3, k * 7919, k % 2) for k in range(20)] + [(None, 1, 1, 5, 1)] * 3, "doc_id long, size long, text_crc32 long, row_hash long, shard int")
+    got = s.with_slots(rows).collect()
+    for shard in (0, 1):
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in got)))
+    assert len(got) == 53 and sum(r["doc_id"] == 1 and r["row_hash"] == 4 for r in got) == 30

@@ -39,6 +39,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as it takes to be none of ``df``'s columns."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def small_batches(docs: DataFrame, rows: int = 512) -> DataFrame:
     """``docs``; its session sends Python workers Arrow batches of at most ``rows`` rows from now on.
 

@@ -6,22 +6,30 @@ blocks of the smallest rows, so that whole rows move and sizes meet the capaciti
 rows left over. Only the shards x shards flow problem is solved on the driver; no row goes there.
 
 Defined results: a null text counts as empty (size 1); repeated rows are placed one by one; a null key is a key like
-any other; an empty table gives an empty result; other columns are ignored by the plan and kept by ``rewrite``. A row
-larger than a capacity gets a shard that holds as little else as possible.
+any other; an empty table gives an empty result; other columns are ignored by the plan and kept by ``rewrite``, one named as
+its partition column too. A row larger than a capacity gets a shard that holds as little else as possible.
+
+``rewrite`` carries the plan out on a versioned table of shards: shards whose rows change are written anew, those that are empty
+now are dropped, the others keep their files; readers see all of it or nothing.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from .common import materialize
+from tidemark.sources.tables import Table
+
+from .common import materialize, scratch_root, spare
 
 #: Blocks of one size class in a shard, and of a shard without size classes. With the classes (4 to a power of 2) they
 #: bound a shard's block table.
 SUB_BLOCKS, MIXED_BLOCKS = 64, 1024
+#: Rows of a shard that are numbered in one group, on average; rows a group repeats at once; bytes of text in a file.
+SLOT_ROWS, REPEAT_ROWS, FILE_BYTES = 100_000, 10_000, 256 << 20
 
 
 def min_cost_flow(supply: Sequence[int], demand: Sequence[int], cost: Sequence[Sequence[int]]) -> dict[tuple[int, int], int]:
@@ -125,7 +133,7 @@ def _round(rows: DataFrame, sizes: list[int], room: list[int], mixed: bool) -> D
     within = W.partitionBy(*block).orderBy(*([] if mixed else [F.desc("size")]), "row_hash", "doc_id").rowsBetween(W.unboundedPreceding, 0)
     placed = may.join(starts, block).withColumn("end", F.col("before") + F.sum("size").over(within)).join(edge, "shard")
     placed = placed.where((F.col("end") > F.col("lo")) & (F.col("end") <= F.col("hi")))
-    kept = ["doc_id", "size", "text_crc32", "row_hash"]
+    kept = ["doc_id", "size", "text_crc32", "row_hash", "old"]
     return placed.select(*kept, F.col("dest").alias("shard")).union(rows.where(F.col("size") > F.col("surplus")).select(*kept, F.col("home").alias("shard")))
 
 
@@ -135,13 +143,13 @@ def _sizes(rows: DataFrame, n: int) -> tuple[list[int], list[int]]:
 
 
 def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, rounds: int = 7) -> DataFrame:
-    """(doc_id, size, text_crc32, row_hash, old_shard's successor ``shard``, slot) of every row of ``docs``.
+    """(doc_id, size, text_crc32, row_hash, old, shard, slot) of every row of ``docs``: where it lies and where it goes.
 
     ``old_shard`` gives the shard, 0 to n_old - 1, in which a row lies now. Sizes of the new shards differ by about
     the smallest rows, as far as whole rows allow.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), F.xxhash64("doc_id", "text").alias("row_hash"), old_shard.cast("int").alias("shard"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), F.xxhash64("doc_id", "text").alias("row_hash"), old_shard.cast("int").alias("old")).withColumn("shard", F.col("old"))
     rows = materialize(rows, "rows")
     n = n_old
     for k in range(rounds):
@@ -153,28 +161,77 @@ def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, rounds:
         else:
             room = capacities(sum(sizes), [0] * n_new)
         rows, n = materialize(_round(rows, sizes, room, k == 0), "round"), n_new
-    part = F.pmod(F.shiftright("row_hash", 8), F.lit(256)).cast("int")
-    rows = rows.withColumn("part", part)
-    counts = rows.groupBy("shard", "part").agg(F.count("*").alias("c"))
-    first = counts.select("shard", "part", (F.sum("c").over(W.partitionBy("shard").orderBy("part")) - F.col("c")).alias("first"))
-    rank = F.row_number().over(W.partitionBy("shard", "part").orderBy("row_hash", "doc_id"))
-    return rows.join(first, ["shard", "part"]).select("doc_id", "size", "text_crc32", "row_hash", "shard", (F.col("first") + rank - 1).cast("long").alias("slot"))
+    return with_slots(rows)
+
+
+def with_slots(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, size, text_crc32, row_hash, shard and more) with ``slot``, gapless from 0 in each shard.
+
+    Rows are numbered in parts by hash, as many as the rows ask for. Equal rows are one until they have their numbers.
+    """
+    parts = max(1, -(-rows.count() // SLOT_ROWS))
+    each = rows.groupBy(*rows.columns).agg(F.count("*").alias("c")).withColumn("part", F.pmod(F.shiftright("row_hash", 8), F.lit(parts)))
+    counts = each.groupBy("shard", "part").agg(F.sum("c").alias("n"))
+    first = counts.select("shard", "part", (F.sum("n").over(W.partitionBy("shard").orderBy("part")) - F.col("n")).alias("first"))
+    before = F.sum("c").over(W.partitionBy("shard", "part").orderBy("row_hash", *[c for c in rows.columns if c not in ("row_hash", "shard")])) - F.col("c")
+    placed = each.join(first, ["shard", "part"]).withColumn("at", F.col("first") + before)
+    for step in (REPEAT_ROWS, 1):  # c copies in two steps, so that no array is longer than the square root of what there may be
+        placed = placed.withColumn("k", F.explode(F.sequence(F.lit(0), F.floor((F.col("c") - 1) / step))))
+        placed = placed.withColumn("at", F.col("at") + F.col("k") * step).withColumn("c", F.least(F.lit(step), F.col("c") - F.col("k") * step))
+    return placed.select(*rows.columns, F.col("at").cast("long").alias("slot"))
+
+
+def shard_table(spark: SparkSession, path: str) -> Table:
+    return Table(spark, path, ["shard"])
 
 
 def rewrite(docs: DataFrame, plan: DataFrame, old_shard: Column, path: str) -> DataFrame:
-    """Rewrite as Parquet, one folder a shard, those shards of ``path`` whose rows changed; returns the rewritten shards.
+    """Carry ``plan`` out on the shards at ``path``; returns the shards that were written or dropped.
 
-    Rows are met again by (doc_id, hash of doc_id and text); repeated rows, which have the same place, are met once.
+    These are the shards that rows leave or enter, and those that ``path`` doesn't hold yet; only their texts move. Rows are met
+    again by old shard, doc_id and hash of doc_id and text; where the copies of a row go to several shards, as many go to each as the plan says.
     """
-    own = docs.withColumn("__hash", F.xxhash64("doc_id", "text")).withColumn("__old", old_shard.cast("int"))
-    to = plan.groupBy("doc_id", "row_hash").agg(F.min("shard").alias("__new")).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__row"), "__new")
-    moved = materialize(own.join(to, (own["doc_id"].eqNullSafe(to["__id"])) & (own["__hash"] == to["__row"])).drop("__id", "__row", "__hash"), "moved")
-    touched = moved.where("__old <> __new").select(F.explode(F.array("__old", "__new")).alias("__new")).distinct()
-    out = moved.join(F.broadcast(touched), "__new", "left_semi").drop("__old")  # a row a shard
-    clash = "shard" in docs.columns
-    out = (out.drop("shard") if clash else out).withColumnRenamed("__new", "shard")
-    out.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
-    return touched.select(F.col("__new").alias("shard"))
+    spark, table = docs.sparkSession, shard_table(docs.sparkSession, path)
+    keys = ["old", "doc_id", "row_hash"]
+    dest = materialize(plan.groupBy(*keys, "shard").agg(F.count("*").alias("c"), F.sum("size").alias("bytes")), "destinations")
+    shards = dest.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect()  # a row a shard
+    moved = dest.where("old <> shard").select(F.explode(F.array("old", "shard")).alias("s")).distinct().collect()  # a row a shard
+    absent = {r["shard"] for r in shards} - {int(p.partition("=")[2]) for p in table.partitions()}
+    touched = sorted({r["s"] for r in moved} | absent)
+    old, id_, row, to, part, o, i, r, lo, hi = spare(docs, "old", "id", "row", "to", "part", "o", "i", "r", "lo", "hi")
+    from_ = [x["old"] for x in dest.where(F.col("shard").isin(touched)).select("old").distinct().collect()]  # a row a shard
+    own = docs.withColumns({old: old_shard.cast("int"), id_: F.col("doc_id").cast("long"), row: F.xxhash64("doc_id", "text")}).where(F.col(old).isin(from_))
+    named = [F.col("old").alias(o), F.col("doc_id").alias(i), F.col("row_hash").alias(r)]
+    met = (F.col(old) == F.col(o)) & F.col(id_).eqNullSafe(F.col(i)) & (F.col(row) == F.col(r))
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    several = materialize(dest.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*named), "several")
+    one = dest.where(F.col("shard").isin(touched)).select(*named, F.col("shard").alias(to)).join(several.toDF("a", "b", "c"), (F.col(o) == F.col("a")) & F.col(i).eqNullSafe(F.col("b")) & (F.col(r) == F.col("c")), "left_anti")
+    rows = own.join(one, met).select(*kept, row, to)
+    if not several.isEmpty():
+        # copies are numbered in parts that are written down first, so that a task that runs again numbers them alike
+        copies = materialize(own.join(several, met, "left_semi").withColumn(part, F.pmod(F.monotonically_increasing_id(), F.lit(64))), "copies")
+        counts = copies.groupBy(old, id_, row, part).agg(F.count("*").alias(hi))
+        first = counts.withColumn(lo, F.sum(hi).over(W.partitionBy(old, id_, row).orderBy(part)) - F.col(hi)).select(F.col(old).alias(o), F.col(id_).alias(i), F.col(row).alias(r), F.col(part).alias(hi), lo)
+        number = F.row_number().over(W.partitionBy(old, id_, row, part).orderBy(F.lit(0)))
+        ranked = copies.withColumn(to, number).join(first, met & (F.col(part) == F.col(hi))).select(*kept, old, id_, row, (F.col(to) + F.col(lo)).alias(part))
+        ranges = dest.withColumn("hi", F.sum("c").over(W.partitionBy(*keys).orderBy("shard"))).select(*named, F.col("shard").alias(to), (F.col("hi") - F.col("c")).alias(lo), F.col("hi").alias(hi))
+        placed = ranked.join(ranges, met & (F.col(part) > F.col(lo)) & (F.col(part) <= F.col(hi)))
+        rows = rows.union(placed.where(F.col(to).isin(touched)).select(*kept, row, to))
+    (name,) = spare(docs, "shard")
+    stored = [F.col(f"`{c}`").alias(name, metadata={"own_name": c}) if c.lower() == "shard" else F.col(f"`{c}`") for c in docs.columns]
+    each = max(1, -(-max((r["bytes"] for r in shards), default=0) // FILE_BYTES))
+    dealt = rows.repartition(max(1, len(touched) * each), F.col(to), F.pmod(F.xxhash64(row), F.lit(each)))
+    table.replace(dealt.select(*stored, F.col(to).alias("shard")), [f"shard={s}" for s in touched])
+    return spark.createDataFrame([(s,) for s in touched], "shard int")
+
+
+def read_shards(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the current version, with all their columns and ``to_shard`` (with underscores in front if there is such a column)."""
+    rows = shard_table(spark, path).read()
+    own = {f.name: f.metadata["own_name"] for f in rows.schema.fields if "own_name" in (f.metadata or {})}
+    kept = rows.select(*(F.col(f"`{c}`").alias(own.get(c, c)) for c in rows.columns if c != "shard"), F.col("shard").alias("\0"))
+    (name,) = spare(kept, "to_shard")
+    return kept.withColumnRenamed("\0", name)
 
 
 #: Shards that the documents lie in before, by the hash of doc_id.
@@ -182,6 +239,11 @@ OLD_SHARDS, NEW_SHARDS = 12, 16
 
 
 def op1_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plan, carry out, and describe what lies in the rewritten shards."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    plan = reshard(docs, F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)), OLD_SHARDS, NEW_SHARDS)
-    return plan.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    old = F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS))
+    path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}-shards"
+    rewrite(docs, materialize(reshard(docs, old, OLD_SHARDS, NEW_SHARDS), "plan"), old, path)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = read_shards(spark, path).select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), F.xxhash64("doc_id", "text").alias("row_hash"), F.col("to_shard").alias("shard"))
+    return with_slots(materialize(rows, "placed")).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
