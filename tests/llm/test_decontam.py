@@ -118,3 +118,24 @@ def test_question_and_answer():
     q, a = d.question_answer("What is it? It is blue.")
     assert (b" ".join(q), b" ".join(a)) == (b"what is it?", b"it is blue.")
     assert d.question_answer("one sentence")[0] == d.question_answer("one sentence")[1]
+
+
+def test_question_and_answer_must_both_be_there(spark, make):
+    rng = random.Random(13)
+    question, answer = prose(rng, 30) + "?", prose(rng, 3) + "."
+    other = [(k, f"{prose(rng, 20)}? {prose(rng, 6)}.") for k in range(20)]
+    bench = spark.createDataFrame([(500, f"{question} {answer}"), *other], BENCH)
+    almost = answer.split()
+    almost[1] = word(rng)
+    rows = [
+        (1, f"{prose(rng, 40)} {question} {answer} {prose(rng, 40)}"),
+        (2, f"{prose(rng, 40)} {question} {prose(rng, 3)}. {prose(rng, 40)}"),  # another answer: 0.84 of the item
+        (3, f"{prose(rng, 40)} {question}"),
+        (4, f"{prose(rng, 40)} {answer} {prose(rng, 40)}"),
+        (5, f"{prose(rng, 40)} {question} {' '.join(almost)} {prose(rng, 40)}"),
+        (6, f"{answer} {prose(rng, 20)}"),
+    ]
+    got = d.matches(make(rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 500), (5, 500)}
+    assert all(min(r["question_overlap"], r["answer_overlap"]) >= d.MIN_PART for r in got)
+    assert sorted(r["doc_id"] for r in d.decontaminate(make(rows), bench).collect()) == [2, 3, 4, 6]

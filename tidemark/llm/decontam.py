@@ -5,8 +5,9 @@ Postings lie in blocks of items with the largest impact of each block. Every pas
 stride that no item spans) is a query. A vectorised form of WAND's bound comes first: the shares of the rare words
 that a passage has from an item, plus all that the common words could add, must reach the threshold for one item at
 least. Passages that pass go through block-max WAND, which returns all items above the threshold, and these are
-verified: a hit holds 0.8 of the item's five-word shingles. The shares of its question and of its answer are computed and returned,
-but decide nothing: a whole question with another answer is no hit where it is less than 0.8 of the item.
+verified: a hit holds 0.8 of the item's five-word shingles, and half of its question and half of its answer, both by pairs of neighbouring
+words (parts of fewer than four words: by words, as one changed word leaves a short answer no pair). So neither a question with
+another answer nor an answer alone is a hit, however long the part that is there.
 
 The index goes to the executors in chunks of at most ``CHUNK_BYTES`` of item text, one pass over the documents a chunk: a bound
 that is checked and doesn't grow with the benchmark.
@@ -32,6 +33,8 @@ from .common import small_batches
 K1, B = 1.2, 0.75
 #: Share of an item's own BM25 score that a passage must reach, and share of its shingles that it must hold.
 MIN_SCORE, MIN_OVERLAP, SHINGLE = 0.6, 0.8, 5
+#: Share of its question and of its answer that a passage must hold, and from how many words on they are compared by pairs.
+MIN_PART, PAIRS_FROM = 0.5, 4
 CHUNK_BYTES, BLOCK = 8 << 20, 16
 #: A word is common if more than this share of items holds it.
 COMMON = 0.05
@@ -52,6 +55,12 @@ def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     return (words[: ends[-1]], words[ends[-1] :]) if ends else (words, words)
 
 
+def part(words: list[bytes]) -> tuple[int, set[bytes]]:
+    """By what a question or answer is compared: pairs of words, or words if it is short."""
+    n = 2 if len(words) >= PAIRS_FROM else 1
+    return n, shingles(words, n)
+
+
 class Index:
     """BM25 impacts of the items' words as shares of the item's own score, in posting lists with block maxima."""
 
@@ -66,7 +75,7 @@ class Index:
             words = words_of(text)
             self.longest = max(self.longest, len(words))
             self.shingles.append(shingles(words))
-            self.parts.append(tuple(shingles(p) for p in question_answer(text)))
+            self.parts.append(tuple(part(p) for p in question_answer(text)))
             counts = Counter(words)
             impact = {w: idf[w] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(words) / average)) for w, n in counts.items()}
             own = sum(impact.values())
@@ -134,9 +143,10 @@ class Index:
             heap = sorted(rest)
         return found
 
-    def verified(self, d: int, have: set[bytes]) -> tuple[float, float, float]:
-        share = lambda s: len(s & have) / len(s) if s else 0.0
-        return share(self.shingles[d]), share(self.parts[d][0]), share(self.parts[d][1])
+    def verified(self, d: int, have: dict[int, set[bytes]]) -> tuple[float, float, float]:
+        """Shares of the item, its question and its answer in a passage with the runs ``have`` of 1, 2 and SHINGLE words."""
+        share = lambda s, n: len(s & have[n]) / len(s) if s else 0.0
+        return share(self.shingles[d], SHINGLE), *(share(s, n) for n, s in self.parts[d])
 
     def search(self, texts: list[str | None], min_score: float, min_overlap: float) -> list[list[tuple]]:
         """For each text its verified items: (item_id, score, overlap, question overlap, answer overlap), best passage each."""
@@ -176,10 +186,10 @@ class Index:
             if not hits:
                 continue
             k = int(owner[p])
-            have = shingles(tokens[k][first[p] : first[p] + 2 * stride])
+            have = {n: shingles(tokens[k][first[p] : first[p] + 2 * stride], n) for n in (1, 2, SHINGLE)}
             for d, score in hits.items():
                 overlap, question, answer = self.verified(d, have)
-                if overlap >= min_overlap:
+                if overlap >= min_overlap and min(question, answer) >= MIN_PART:
                     row = (self.ids[d], min(score, 1.0), overlap, question, answer)
                     if self.ids[d] not in out[k] or row[1:] > out[k][self.ids[d]][1:]:
                         out[k][self.ids[d]] = row
