@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import small_batches
+from .common import materialize, small_batches
 
 K1, B = 1.2, 0.75
 #: Share of an item's own BM25 score that a passage must reach, and share of its shingles that it must hold.
@@ -197,28 +197,40 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Index]:
-    """Indexes over chunks of the items. Word statistics cover all items; each chunk has at most ``chunk_bytes`` of text
-    (or one item)."""
+    """Indexes over chunks of the items. Word statistics cover all items and stay in Spark; the driver holds a chunk at a time, of at
+    most ``chunk_bytes`` of text (or one item), and the statistics of its words."""
     text = F.col("text").cast("string")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text")).where(text.rlike(r"[^\x20\x09-\x0D]")).groupBy("text").agg(F.min("item_id").alias("item_id"))
-    items = items.where("item_id is not null").orderBy("item_id")
-    n, total, counts = 0, 0, Counter()
-    for row in items.toLocalIterator():
-        words = words_of(row["text"])
-        n, total = n + 1, total + len(words)
-        counts.update(set(words))
-    if not n:
-        return
-    idf = {w: math.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in counts.items()}
-    common = {w for w, c in counts.items() if c > max(2, COMMON * n)}
+    items = materialize(items.where("item_id is not null"), "items")
+    words = materialize(_words(items).groupBy("word").agg(F.count("*").alias("items"), F.sum("n").alias("n")), "words")
+    n, total = items.count(), words.agg(F.sum("n")).first()[0]
+
+    def index(held: list[tuple[int, str]]) -> Index:
+        own = _words(items.where(F.col("item_id").between(held[0][0], held[-1][0]))).select("word").distinct()
+        found = {r["word"]: r["items"] for r in words.join(own, "word").select("word", "items").toLocalIterator()}  # the words of a chunk
+        counts = {bytes(w): c for w, c in found.items()}
+        return Index(held, total / n, {w: math.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in counts.items()}, {w for w, c in counts.items() if c > max(2, COMMON * n)})
+
     held, size = [], 0
-    for row in items.toLocalIterator():
+    for row in items.orderBy("item_id").toLocalIterator():
         if held and size + len(row["text"]) * 4 > chunk_bytes:
-            yield Index(held, total / n, idf, common)
+            yield index(held)
             held, size = [], 0
         held.append((row["item_id"], row["text"]))
         size += len(row["text"]) * 4
-    yield Index(held, total / n, idf, common)
+    if held:
+        yield index(held)
+
+
+def _words(items: DataFrame) -> DataFrame:
+    """(word, n): a row for each item and different word in it, and how often it stands there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x for text in batch["text"] for x in Counter(words_of(text.as_py())).items()]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int64())], names=["word", "n"])
+
+    return items.select("text").mapInArrow(run, "word binary, n long")
 
 
 HITS = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
