@@ -101,18 +101,6 @@ def jaccard(a, b, n=5):
     return len(x & y) / len(x | y) if x | y else 1.0
 
 
-def test_sketches_estimate_similarity():
-    rng = random.Random(4)
-    for n in (3, 40, 100, 600):
-        a = prose(rng, n).split()
-        b = a[:]
-        for k in range(0, n, 45):
-            b[k] = word(rng)
-        a, b = " ".join(a), " ".join(b)
-        got = s.sketch_similarity(s.profile(a)[1], s.profile(b)[1])
-        assert abs(got - jaccard(a, b)) < (1e-9 if n <= 100 else 0.12)
-
-
 def test_one_of_each_group_stays(spark, make):
     """Against all pairs: copies and near copies go, everything else stays."""
     rng = random.Random(6)
@@ -145,14 +133,6 @@ def test_one_of_each_group_stays(spark, make):
     assert s.keep_first(make([])).count() == 0
 
 
-def test_pivots_reach_the_original():
-    rng = np.random.default_rng(0)
-    centre = rng.integers(0, 1 << 63, dtype=np.uint64)
-    fp = np.array([centre] + [centre ^ (np.uint64(1) << np.uint64(a)) ^ (np.uint64(1) << np.uint64(b)) ^ (np.uint64(1) << np.uint64(c)) for a, b, c in (rng.choice(64, 3, replace=False) for _ in range(200))], np.uint64)
-    pairs = set(s.near_pairs(fp, 0, 3))
-    assert {(0, k) for k in range(1, len(fp))} <= pairs and len(pairs) < 3 * len(fp)
-
-
 def stay(spark, make, texts):
     """The rows that stay, and those that should by all pairs; row k is document k."""
     parent = list(range(len(texts)))
@@ -251,3 +231,47 @@ def test_forests_keep_what_is_connected():
             first = {}
             roots.append([first.setdefault(x, k) for k, x in enumerate(label)])
         assert roots[0] == roots[1] and set(s.spanning(sets, split, alike)) <= set(every)
+
+
+@pytest.mark.parametrize("hot", [1 << 18, 20])
+def test_large_and_hot_keys_lose_nothing(spark, monkeypatch, hot):
+    """Fingerprints that share 40 bits: keys beyond a chunk are keyed again, and hot ones never meet in one call."""
+    monkeypatch.setattr(s, "BUCKET_KEYS", 400)
+    monkeypatch.setattr(s, "HOT_KEY", hot)
+    monkeypatch.setattr(s, "OVERLOADED", 1)
+    rng = random.Random(41)
+    base, fps = rng.getrandbits(64) >> 24 << 24, set()
+    for _ in range(60):
+        x = base | rng.getrandbits(24)
+        for _ in range(6):
+            fps.add(x)
+            x ^= 1 << rng.randrange(24) | 1 << rng.randrange(24)
+    fps = sorted(fps | {rng.getrandbits(64) for _ in range(200)})
+    if hot == 20:
+        assert len(s._hot_keys(spark.createDataFrame([(s._signed(f),) for f in fps], "fp long"), s.Keys(s.chosen_masks((1 << 64) - 1, 6, 3)), 40)) > 0
+    edges = s.links(spark.createDataFrame([(s._signed(f),) for f in fps], "fp long"), 3, 6, 32)
+    parts = {r["node"]: r["root"] for r in s.components(edges).collect()}
+    by = [parts.get(s._signed(f), s._signed(f)) for f in fps]
+    root = groups_of(fps, 3)
+    assert all((by[a] == by[b]) == (root[a] == root[b]) for a in range(len(fps)) for b in range(a))
+
+
+def test_masks_cover_all_bits():
+    for bits in ((1 << 64) - 1, 0x0F0F0F0F0F0F0F0F, 0xFFF):
+        masks = s.chosen_masks(bits, 6, 3)
+        assert len(masks) == 20 and all(m & ~bits == 0 for m in masks)
+        rng = random.Random(1)
+        for _ in range(50):  # whichever three bits differ, some mask holds none of them
+            apart = [1 << b for b in rng.sample([k for k in range(64) if bits >> k & 1], 3)]
+            assert any(not m & sum(apart) for m in masks)
+
+
+def test_columns_of_any_name_are_kept(spark, make):
+    from pyspark.sql import functions as F
+
+    docs = make([(1, "a b c"), (2, "a b c"), (3, None)])
+    for name in ("__id", "__t1", "__t2", "id", "_id", "T2", "dotted.name"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    got = s.keep_first(docs)
+    assert got.schema == docs.schema
+    assert sorted((r["doc_id"], r["__t1"], r["_id"], r["T2"], r["dotted.name"]) for r in got.collect()) == [(1, *["mine"] * 4), (3, *["mine"] * 4)]

@@ -4,8 +4,9 @@
 the bits are cut into blocks, more than the distance, so that a close pair agrees on at least ``blocks - distance`` of them;
 fingerprints are keyed by every choice of that many blocks, brought together by key, and verified. Only different
 fingerprints take part, so a text with any number of copies counts once. Fingerprints of one key are compared
-in chunks of bounded size; a key with more of them than a chunk holds is dealt over pairs of chunks. A chunk
-returns a spanning forest of its close pairs, not the pairs: groups keep every link, and output grows with the fingerprints.
+in chunks of bounded size; those of a key with more of them than a chunk holds are keyed once more by blocks of the bits that the key
+leaves open, and keys that are still too large are dealt over pairs of chunks. Keys far too large for one call are found by
+counting first and never gathered. A chunk returns a spanning forest of its close pairs, not the pairs: groups keep every link, and output grows with the fingerprints.
 ``components`` joins the forests into groups by alternating large-star and small-star steps.
 
 Defined results: a null text is an empty one; a text without words has fingerprint zero, which links like any other;
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import materialize, mix, pack_sorted, small_batches, unpack_sorted
+from .common import materialize, mix, pack_sorted, small_batches, spare, unpack_sorted
 
 #: Most fingerprints of one key that are compared in one call.
 CHUNK = 2048
@@ -63,11 +64,6 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def block_masks(blocks: int, bits: int = 64) -> list[int]:
-    edges = [round(k * bits / blocks) for k in range(blocks + 1)]
-    return [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
-
-
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -97,72 +93,99 @@ def forest(fp: np.ndarray, split: int, distance: int) -> list[tuple[int, int]]:
     return out
 
 
-def near_pairs(fp: np.ndarray, split: int, distance: int, all_up_to: int = 64) -> list[tuple[int, int]]:
-    """Close pairs to be verified: all of them among up to ``all_up_to`` members, else for each member that with its pivot.
+#: Fingerprints that are keyed at once, and keyed fingerprints for each bucket.
+KEYED_ROWS, BUCKET_KEYS = 1 << 14, 1 << 20
+#: A key with more members than this doesn't go to a bucket; it is looked for in buckets of more than OVERLOADED times their share.
+HOT_KEY, OVERLOADED = 1 << 18, 2
+#: Parts over which the members of one key are dealt when they learn how many they are.
+SALTS = 32
+
+
+class Keys:
+    """Tables of masks: a fingerprint has a key in each, the bits under the mask."""
+
+    def __init__(self, masks: list[int]):
+        self.masks = np.array(masks, np.uint64)
 
-    Pivots are the members with the most close ones, taken greedily, as the text that many others were changed from
-    has; a forest over all close pairs comes on top, so that what is connected by distance stays connected.
+    def of(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(table, row, hash of the key) of every fingerprint in every table."""
+        table = np.repeat(np.arange(len(self.masks)), len(fp))
+        row = np.tile(np.arange(len(fp)), len(self.masks))
+        return table, row, mix((fp[row] & self.masks[table]) + table.astype(np.uint64))
+
+
+def chosen_masks(bits: int, blocks: int, distance: int) -> list[int]:
+    """The bits of ``bits`` cut into ``blocks``, in every choice of as many blocks as agree within ``distance``."""
+    places = [k for k in range(64) if bits >> k & 1]
+    each = [sum(1 << places[k] for k in range(round(b * len(places) / blocks), round((b + 1) * len(places) / blocks))) for b in range(blocks)]
+    return [sum(kept) for kept in combinations(each, blocks - distance)]
+
+
+def _hot_keys(fps: DataFrame, keys: Keys, buckets: int) -> np.ndarray:
+    """Hashes of the keys with more than HOT_KEY members: one in HOT_KEY of the keyed fingerprints at most.
+
+    Buckets are counted first, and keys only in those that hold far more than their share.
     """
-    n = len(fp)
-    near = [np.flatnonzero(np.bitwise_count((fp[split:] if split else fp) ^ x) <= distance) + split for x in fp[: split or n]]
-    if n <= all_up_to:
-        return [(i, int(j)) for i, js in enumerate(near) for j in js if i < j]
-    free, out = np.ones(n, bool), []
-    for i in sorted(range(len(near)), key=lambda i: (-len(near[i]), i)):
-        js = near[i][free[near[i]]]
-        js = js[js != i]
-        if len(js) and (free[i] or split):
-            out += [(min(i, int(j)), max(i, int(j))) for j in js]
-            free[js] = False
-    return out + forest(fp, split, distance)
 
+    def counting(only: np.ndarray | None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                key = keys.of(batch["fp"].to_numpy().view(np.uint64))[2]
+                to = (key >> np.uint64(20)) % np.uint64(buckets)
+                what, n = np.unique(to if only is None else key[np.isin(to, only)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(what.view(np.int64)), pa.array(n)], names=["what", "n"])
 
-#: Fingerprints that are keyed at once, and keyed fingerprints for each bucket.
-KEYED_ROWS, BUCKET_KEYS = 1 << 14, 1 << 20
+        return run
+
+    def most(only: np.ndarray | None, least: int) -> np.ndarray:
+        counts = fps.select("fp").mapInArrow(counting(only), "what long, n long").groupBy("what").agg(F.sum("n").alias("n")).where(F.col("n") > least)
+        return np.sort(np.array([r["what"] for r in counts.select("what").toLocalIterator()], np.int64).view(np.uint64))
 
+    overloaded = most(None, max(HOT_KEY, OVERLOADED * BUCKET_KEYS))
+    return most(overloaded, HOT_KEY) if len(overloaded) else overloaded
 
-def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK, connect=forest, families: int = 1) -> DataFrame:
-    """(family, a, b) with a < b: links between the different fingerprints of ``fps``, by default forests by key.
 
-    ``fps`` has ``fp`` and ``family``, 0 to ``families`` - 1; only fingerprints of one family are compared.
-    A key is a family, a choice of ``blocks - distance`` blocks and their bits. Keyed fingerprints go, packed, to buckets by the hash of the key; a
-    bucket sorts them by key and compares those of one key. Members of keys with more than ``chunk`` are sent on and
-    compared in cells of two parts each.
+def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK) -> DataFrame:
+    """(a, b) with a < b: links between the different fingerprints ``fp`` of ``fps``, forests by key.
+
+    A key is a choice of ``blocks - distance`` blocks and their bits. Keyed fingerprints go, packed, to buckets by the hash of the key; a
+    bucket sorts them by key and compares those of one key. Members of keys with more than ``chunk`` are sent on.
     """
-    blocks_of = block_masks(blocks)
-    masks = np.array([sum(blocks_of[k] for k in kept) for kept in combinations(range(blocks), blocks - distance)], np.uint64)
-    choices = len(masks)
-    masks = np.tile(masks, families)  # a table for each family and choice, at most 255
-    buckets = max(1, -(-fps.count() * choices // BUCKET_KEYS))
+    keys = Keys(chosen_masks((1 << 64) - 1, blocks, distance))
+    buckets = max(1, -(-fps.count() * len(keys.masks) // BUCKET_KEYS))
+    hot = _hot_keys(fps, keys, buckets) if buckets > 1 else np.empty(0, np.uint64)  # one bucket holds no more than its share
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def deal_out(family: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            table = (family[None].astype(np.int64) * choices + np.arange(choices)[:, None]).ravel()
-            row = np.tile(np.arange(len(fp)), choices)
-            to = ((mix((fp[row] & masks[table]) + table.astype(np.uint64)) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+        def deal_out(fp: np.ndarray) -> pa.RecordBatch:
+            table, row, key = keys.of(fp)
+            to = ((key >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+            if len(hot):
+                to[np.isin(key, hot)] = -1
             by = np.argsort(to, kind="stable")
             to, table, row = to[by], table[by].astype(np.uint8), row[by]
             at = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
             payload = [table[i:j].tobytes() + fp[row[i:j]].tobytes() for i, j in zip(at, np.append(at[1:], len(to)), strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(to[at], pa.int32()), pa.array(payload, pa.binary())], names=["bucket", "keyed"])
 
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = []
         for batch in batches:
-            held.append((batch["family"].to_numpy(), batch["fp"].to_numpy().view(np.uint64)))
-            if sum(len(f) for f, _ in held) >= KEYED_ROWS:
-                yield deal_out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held.append(batch["fp"].to_numpy().view(np.uint64))
+            if sum(map(len, held)) >= KEYED_ROWS:
+                yield deal_out(np.concatenate(held))
                 held.clear()
-        if sum(len(f) for f, _ in held):
-            yield deal_out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        if sum(map(len, held)):
+            yield deal_out(np.concatenate(held))
+
+    def unpacked(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [(np.frombuffer(p, np.uint8, len(p) // 9), np.frombuffer(p, np.uint64, len(p) // 9, len(p) // 9)) for p in payloads]
+        return np.concatenate([t for t, _ in parts]), np.concatenate([f for _, f in parts])
 
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
-        parts = [(np.frombuffer(p, np.uint8, len(p) // 9), np.frombuffer(p, np.uint64, len(p) // 9, len(p) // 9)) for p in rows["keyed"].to_pylist()]
-        table, fp = np.concatenate([t for t, _ in parts]), np.concatenate([f for _, f in parts])
-        del parts
-        kind, family, a, b = [np.empty(0, bool)], [np.empty(0, np.int32)], [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+        table, fp = unpacked(rows["keyed"].to_pylist())
+        kind, a, b = [np.empty(0, np.int32)], [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
         order = np.argsort(table, kind="stable")
-        edge = np.searchsorted(table[order], np.arange(len(masks) + 1))
-        for t, m in enumerate(masks):
+        edge = np.searchsorted(table[order], np.arange(len(keys.masks) + 1))
+        for t, m in enumerate(keys.masks):
             own = fp[order[edge[t] : edge[t + 1]]]
             own = own[np.argsort(own & m, kind="stable")]
             masked = own & m
@@ -172,37 +195,68 @@ def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK
             two = two[np.bitwise_count(own[two] ^ own[two + 1]) <= distance]
             u, v = [own[two]], [own[two + 1]]
             for i, n in zip(at[(size > 2) & (size <= chunk)].tolist(), size[(size > 2) & (size <= chunk)].tolist(), strict=True):
-                pairs = connect(own[i : i + n], 0, distance)
+                pairs = forest(own[i : i + n], 0, distance)
                 if pairs:
                     p = np.array(pairs, np.int64) + i
                     u.append(own[p[:, 0]])
                     v.append(own[p[:, 1]])
             u, v = np.concatenate(u), np.concatenate(v)
-            kind.append(np.zeros(len(u), bool))
-            family.append(np.full(len(u), t // choices, np.int32))
+            kind.append(np.full(len(u), -1, np.int32))
             a.append(u)
             b.append(v)
             for i, n in zip(at[size > chunk].tolist(), size[size > chunk].tolist(), strict=True):
-                kind.append(np.ones(n, bool))
-                family.append(np.full(n, t // choices, np.int32))
-                a.append(np.full(n, mix(masked[i : i + 1] + np.uint64(t))[0]))
+                kind.append(np.full(n, t, np.int32))
+                a.append(np.zeros(n, np.uint64))
                 b.append(own[i : i + n])
-        return pa.table({"big": pa.array(np.concatenate(kind)), "family": pa.array(np.concatenate(family)), "a": pa.array(np.concatenate(a).view(np.int64)), "b": pa.array(np.concatenate(b).view(np.int64))})
+        return pa.table({"big": pa.array(np.concatenate(kind)), "a": pa.array(np.concatenate(a).view(np.int64)), "b": pa.array(np.concatenate(b).view(np.int64))})
+
+    dealt = fps.select("fp").mapInArrow(deal, "bucket int, keyed binary")
+    if len(hot):
+        dealt = materialize(dealt, "dealt")
+    found = materialize(dealt.where("bucket >= 0").groupBy("bucket").applyInArrow(compare, "big int, a long, b long"), "links")
+    members = found.where("big >= 0").select(F.col("big").alias("t"), F.col("b").alias("fp"))
+    if len(hot):
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if len(batch):
+                    table, fp = unpacked(batch["keyed"].to_pylist())
+                    yield pa.RecordBatch.from_arrays([pa.array(table.astype(np.int32)), pa.array(fp.view(np.int64))], names=["t", "fp"])
+
+        members = members.union(dealt.where("bucket = -1").select("keyed").mapInArrow(spread, "t int, fp long"))
+    small = found.where("big < 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return small.union(_in_cells(_keyed_again(members, keys, distance, blocks), distance, chunk)).distinct()
 
-    found = fps.select(F.col("family").cast("int").alias("family"), "fp").mapInArrow(deal, "bucket int, keyed binary").groupBy("bucket").applyInArrow(compare, "big boolean, family int, a long, b long")
-    found = materialize(found, "links")
-    small = found.where("not big").select("family", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    members = found.where("big").select(F.col("a").alias("key"), "family", F.col("b").alias("fp"))
-    return small.union(_in_cells(members, distance, chunk, connect)).distinct()
 
+def _keyed_again(members: DataFrame, keys: Keys, distance: int, blocks: int) -> DataFrame:
+    """(key, fp): members (t, fp) of large keys of table ``t``, keyed by their key and by blocks of the bits that it leaves open."""
+    more = [Keys(chosen_masks(~int(m) & (1 << 64) - 1, blocks, distance)) for m in keys.masks]
 
-def _in_cells(members: DataFrame, distance: int, chunk: int, connect) -> DataFrame:
-    """Links among the members (key, family, fp) of large keys: each key is dealt into parts, and every two parts are a cell."""
-    size = members.groupBy("key").agg(F.count("*").alias("n")).select("key", F.ceil(F.col("n") / F.lit(chunk * 3 / 4)).cast("int").alias("parts"))
-    members = members.join(size, "key")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table, fp = batch["t"].to_numpy(), batch["fp"].to_numpy().view(np.uint64)
+            out = [(np.empty(0, np.uint64), np.empty(0, np.uint64))]
+            for t in np.unique(table).tolist():
+                own = fp[table == t]
+                _, row, key = more[t].of(own)
+                out.append((mix(key + mix((own[row] & keys.masks[t]) + np.uint64(t))), own[row]))
+            key, own = (np.concatenate(x).view(np.int64) for x in zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(own)], names=["key", "fp"])
+
+    return members.mapInArrow(run, "key long, fp long")
+
+
+def _in_cells(members: DataFrame, distance: int, chunk: int) -> DataFrame:
+    """Links among the members (key, fp) of each key: a key of more than a chunk is dealt into parts, and every two parts are a cell."""
+    size = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / F.lit(chunk * 3 / 4)).cast("int").alias("parts"))
+    # a large key's members learn its size in SALTS tasks
+    size = size.withColumn("salt", F.explode(F.when(F.col("parts") > 1, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int"))
+    large, rest = size.where("parts > 1"), size.where("parts = 1").drop("salt")
+    dealt = salted.join(large, ["key", "salt"]).select("key", "fp", "parts").union(members.join(rest, "key").select("key", "fp", "parts"))
     # a member of part p meets every part q: in the cell (p, q) or (q, p)
-    members = members.withColumn("p", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = members.groupBy("key", "family", F.least("p", "q").alias("lo"), F.greatest("p", "q").alias("hi")).agg(F.collect_list(F.struct((F.col("p") == F.greatest("p", "q")).alias("right"), "fp")).alias("m"))
+    dealt = dealt.withColumn("p", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts")).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = dealt.groupBy("key", F.least("p", "q").alias("lo"), F.greatest("p", "q").alias("hi")).agg(F.collect_list(F.struct((F.col("p") == F.greatest("p", "q")).alias("right"), "fp")).alias("m"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,19 +265,18 @@ def _in_cells(members: DataFrame, distance: int, chunk: int, connect) -> DataFra
             fp = flat.field("fp").to_numpy().view(np.uint64)
             right = flat.field("right").to_numpy(zero_copy_only=False)
             same = batch["lo"].to_numpy() == batch["hi"].to_numpy()
-            family, a, b = [], [], []
-            for k, own in enumerate(batch["family"].to_pylist()):
+            a, b = [], []
+            for k in range(len(batch)):
                 x, r = fp[at[k] : at[k + 1]], right[at[k] : at[k + 1]]
                 if not same[k]:
                     x = np.concatenate([x[~r], x[r]])
-                for i, j in connect(x, 0 if same[k] else int((~r).sum()), distance):
+                for i, j in forest(x, 0 if same[k] else int((~r).sum()), distance):
                     u, v = x[i : i + 1].view(np.int64)[0], x[j : j + 1].view(np.int64)[0]
-                    family.append(own)
                     a.append(min(u, v))
                     b.append(max(u, v))
-            yield pa.RecordBatch.from_arrays([pa.array(family, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["family", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return cells.select("family", "lo", "hi", "m").mapInArrow(run, "family int, a long, b long")
+    return cells.select("lo", "hi", "m").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -252,7 +305,7 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(rows: DataFrame, distance: int = 3, blocks: int = 6) -> DataFrame:
     """``rows`` (doc_id, fp) with component_id, the smallest doc_id that can be reached through links."""
     each = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fps")
-    roots = components(links(each.select(F.lit(0).alias("family"), "fp"), distance, blocks))
+    roots = components(links(each.select("fp"), distance, blocks))
     roots = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
     named = each.join(roots, each["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -260,9 +313,9 @@ def groups(rows: DataFrame, distance: int = 3, blocks: int = 6) -> DataFrame:
     return rows.join(per_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-#: For near_duplicates: shingle length, similarity, size of the sketch; fingerprints of each text and min-hash shingles in each.
-SHINGLE, SIMILARITY, SKETCH, FAMILIES, ROWS = 5, 0.8, 128, 32, 5
-#: So many hashes of the sketch go to the first comparison, and a pair goes on if the smaller one shares this part of them.
+#: For near_duplicates: shingle length, similarity; fingerprints of each text and min-hash shingles in each.
+SHINGLE, SIMILARITY, FAMILIES, ROWS = 5, 0.8, 32, 5
+#: So many of the smallest shingle hashes go to the first comparison, and a pair goes on if the smaller one shares this part of them.
 FIRST, FIRST_SHARE = 32, 0.4
 #: Members and shingles of one part of a cell; bytes that one call compares.
 CELL, CELL_SHINGLES, CELL_BYTES = 1024, 1 << 20, 16 << 20
@@ -286,7 +339,7 @@ def shingle_hashes(text: str | None) -> np.ndarray:
 
 
 def profile(text: str | None) -> tuple[list[int], bytes, int, bytes]:
-    """``FAMILIES`` SimHash fingerprints, the ``SKETCH`` smallest 32-bit hashes of the shingles, and how many shingles there are and all their 40-bit hashes, packed.
+    """``FAMILIES`` SimHash fingerprints, the ``FIRST`` smallest 32-bit hashes of the shingles, and how many shingles there are and all their 40-bit hashes, packed.
 
     A fingerprint has the majority bits of ``ROWS`` shingles, each the smallest under a hash function of its own.
     """
@@ -298,22 +351,11 @@ def profile(text: str | None) -> tuple[list[int], bytes, int, bytes]:
         np.minimum(least, (_FACTORS[:, None] * h[None, at : at + 512]).min(axis=1), out=least)
     bits = np.unpackbits(mix(least).view(np.uint8).reshape(FAMILIES, ROWS, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.uint8)
     fps = np.packbits(2 * bits > ROWS, axis=1, bitorder="little").view("<i8").ravel().tolist()
-    sketch = np.unique((h >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
+    sketch = np.unique((h >> np.uint64(32)).astype("<u4"))[:FIRST].tobytes()
     own = np.unique(h >> np.uint64(24))
     return fps, sketch, len(own), pack_sorted(own)
 
 
-def sketch_similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two shingle sets from their smallest hashes: exact for sets that fit the sketch."""
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    if not len(x) or not len(y):
-        return float(len(x) == len(y))
-    union = np.union1d(x, y)
-    if len(x) >= SKETCH or len(y) >= SKETCH:  # beyond the largest hash of a full sketch nothing is known of it
-        union = union[union <= min(s[-1] for s in (x, y) if len(s) >= SKETCH)]
-    return float(np.isin(np.intersect1d(x, y), union).sum() / max(1, len(union)))
-
-
 def spanning(sets: list[np.ndarray], split: int, alike) -> list[tuple[int, int]]:
     """A spanning forest of the pairs that are ``alike`` (shared, sizes, size): of all pairs if ``split`` is 0, else of those across ``split``.
 
@@ -398,7 +440,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps, sketch, size, own = zip(*(profile(x.as_py()) for x in batch["text"]), strict=True) if len(batch) else ((), (), (), ())
-            columns = [pa.array(fps, pa.list_(pa.int64())), pa.array([x[: 4 * FIRST] for x in sketch], pa.binary()), pa.array(size, pa.int32()), pa.array(own, pa.binary())]
+            columns = [pa.array(fps, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), pa.array(size, pa.int32()), pa.array(own, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["t1"], batch["t2"], *columns], names=["doc_id", "t1", "t2", "fps", "sketch", "size", "shingles"])
 
     rows = keyed(docs).select("doc_id", "t1", "t2", "text").mapInArrow(run, "doc_id long, t1 long, t2 long, fps array<long>, sketch binary, size int, shingles binary")
@@ -430,14 +472,19 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row of each group of near duplicates, with all columns: that with the smallest doc_id."""
+    """One row of each group of near duplicates, with all columns: that with the smallest doc_id.
+
+    Null, empty and wordless texts are one group. A group without doc_ids keeps its smallest text's row; a row that stands more than once
+    stays once (rows that differ in other columns only: any one of them). Columns of ``docs`` keep their names and values whatever they are called.
+    """
     number = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-1 << 63))
-    keep = near_duplicates(docs, similarity).select(number("least").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"))
+    id_, t1, t2 = spare(docs, "id", "t1", "t2")
+    keep = near_duplicates(docs, similarity).select(number("least").alias(id_), F.col("t1").alias(t1), F.col("t2").alias(t2))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(1), text), "__id": number("doc_id")})
-    met = own.join(keep, ["__id", "__t1", "__t2"], "left_semi")
+    own = docs.withColumns({t1: F.xxhash64(text), t2: F.xxhash64(F.lit(1), text), id_: number("doc_id")})
+    met = own.join(keep, [id_, t1, t2], "left_semi")
     # a row that stands twice stays once; such rows are neighbours already, dealt and sorted by the join
-    return met.dropDuplicates(["__id", "__t1", "__t2"]).select(*docs.columns)
+    return met.dropDuplicates([id_, t1, t2]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
