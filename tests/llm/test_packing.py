@@ -97,3 +97,34 @@ def test_empty_and_equal(spark, make):
 
 def test_cut():
     assert p.cut(1, 4) == [(0, 1)] and p.cut(4, 4) == [(0, 4)] and p.cut(5, 4) == [(0, 1), (1, 4)] and p.cut(8, 4) == [(0, 4), (4, 4)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_rounds_pack_as_well_as_one_sweep(spark, seed):
+    """Rounds of Spark stages against the sweep of all sizes at once: every row once, no bin too full, about as many bins."""
+    rng = random.Random(seed)
+    capacity = 1024
+    draw = [lambda: int(rng.expovariate(1 / 300)), lambda: rng.randint(200, 500), lambda: rng.randint(0, 8), lambda: rng.choice([1023, rng.randint(0, 1023)])][seed]
+    lengths = [min(capacity, 1 + draw()) for _ in range(3000)]
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    steps = p.rounds(spark.createDataFrame(list(counts.items()), "length int, c long"), capacity).collect()
+    fill, placed = {}, {}
+    for r in sorted(steps, key=lambda r: (r["size"] * 2 <= capacity, r["offset"])):
+        for k in range(r["n"]):
+            placed.setdefault(r["size"], []).append(r["first"] + k)
+            fill.setdefault(r["bin"] + k, []).append((r["offset"], r["size"]))
+    assert {n: sorted(x) for n, x in placed.items()} == {n: list(range(c)) for n, c in counts.items()}
+    for own in fill.values():
+        at = 0
+        for offset, n in sorted(own):
+            assert offset == at
+            at += n
+        assert at <= capacity
+    assert len(fill) <= 1.02 * p.best_fit(counts, capacity)[1] + 1
+
+
+def test_other_columns_stay(spark):
+    rows = spark.createDataFrame([(k, 0, 0, 5, k, "a", "b", "c") for k in range(9)], "doc_id long, piece int, start long, length long, ids_crc32 long, part string, first string, rank string")
+    got = p.place(rows, 10)
+    assert got.columns == ["length", *[c for c in rows.columns if c != "length"], "sequence_id", "offset"] or got.columns == [*rows.columns, "sequence_id", "offset"]
+    assert {(r["part"], r["first"], r["rank"]) for r in got.collect()} == {("a", "b", "c")}

@@ -1,15 +1,18 @@
 """Bulk-synchronous best-fit packing of token sequences.
 
-Lengths are whole numbers up to the capacity, so all documents of one length are alike and so are all bins with one
-gap. The sweep therefore runs over length classes and gap classes, at most ``capacity`` of each however large the table
-is: lengths from long to short; each step matches the documents of a length with the smallest gap that holds
-them (its successor), as many as there are of both, by rank; the bins move to their new gap class; and the length is
-swept again until it is used up or no gap holds it and new bins are opened. Documents and bins carry consecutive ranks,
-so a step is an interval of ranks. The rows themselves are ranked and placed in Spark; only counts by length reach
-the driver.
+Documents and gaps are sorted by range of size: a document's successor is the smallest gap that holds it, so most are matched
+without looking beyond their range. Each round is a Spark stage over ranges of sizes. A range sweeps its documents from long to short:
+those of a length and the bins of its successor gap are matched by rank, as many as there are of both, the bins move to their new gap, and what the
+gap can't take goes on to the next larger one. Documents and gaps that a range leaves over meet in the next round, in fewer and wider
+ranges; in the last one, of all sizes, new bins are opened for what no gap holds. Documents longer than half of the capacity have a bin of their own
+from the start.
+
+Documents of one length have consecutive ranks and so have bins that were opened and filled together, so a table of documents or gaps
+is one of intervals of ranks: its size follows from the capacity, not from the rows, and so do the steps that come out. The rows
+themselves are ranked and placed in Spark.
 
 Defined results: a null text is an empty one and has the end token alone; repeated rows are packed one by one; an empty
-table gives no rows; other columns are ignored.
+table gives no rows; other columns are ignored by ``pack_documents`` and kept by ``place``, whatever they are called.
 """
 
 from __future__ import annotations
@@ -18,16 +21,19 @@ import zlib
 from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import materialize, small_batches
+from .common import materialize, small_batches, spare
 
 CAPACITY, END_ID = 1024, 2
-#: Parts into which the documents of one length are dealt to be ranked, so that one length may hold any share of rows.
-RANK_PARTS = 256
+#: Rows of one length that are ranked in one group, on average over the longest one's: lengths are dealt over parts, as one may hold any share of rows.
+RANK_ROWS = 100_000
+#: Ranges of sizes in the rounds.
+RANGES = (8, 2, 1)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -101,83 +107,125 @@ def tokenize(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, js
     return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
 
 
-def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """Steps (length, first rank, count, first bin, offset) and the number of bins.
+def sweep(docs: list[tuple[int, int, int]], gaps: list[tuple[int, int, int]], capacity: int, next_bin: int | None) -> tuple[list, list, list, int | None]:
+    """One sweep of documents (length, first rank, count) over bins (gap, first bin, count).
 
-    Ranks count the rows of a length from 0; the rows [first rank, first rank + count) of that length go to the bins
-    [first bin, first bin + count), one each, at ``offset``.
+    Returns steps (length, first rank, count, first bin, offset), the documents and the bins that are left, and the next new bin.
+    With ``next_bin`` None no bins are opened and documents that no gap holds are left.
     """
-    gaps: dict[int, deque[tuple[int, int]]] = {}
-    have: list[int] = []  # the gap classes that hold bins, sorted
-    steps, bins = [], 0
+    free: dict[int, deque[tuple[int, int]]] = {}
+    have: list[int] = []  # the gaps that bins have, sorted
+    steps, over = [], []
 
     def put(gap: int, first: int, count: int) -> None:
         if gap:
-            if gap not in gaps:
-                gaps[gap] = deque()
+            if gap not in free:
+                free[gap] = deque()
                 insort(have, gap)
-            gaps[gap].append((first, count))
+            free[gap].append((first, count))
 
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
+    for gap, first, count in sorted(gaps):
+        put(gap, first, count)
+    for length, rank, left in sorted(docs, key=lambda d: (-d[0], d[1])):
         while left:
             at = bisect_left(have, length)
-            if at == len(have):  # no gap holds one: open bins, each to take as many of these as fit
-                opened = -(-left // (capacity // length))
-                first, bins, gap = bins, bins + opened, capacity
-                put(gap, first, opened)
+            if at == len(have):
+                if next_bin is None:
+                    over.append((length, rank, left))
+                    break
+                opened = -(-left // (capacity // length))  # each is to take as many of these as fit
+                put(capacity, next_bin, opened)
+                next_bin += opened
                 continue
             gap = have[at]
-            first, count = gaps[gap].popleft()
+            first, count = free[gap].popleft()
             take = min(left, count)
             if take < count:
-                gaps[gap].appendleft((first + take, count - take))
-            if not gaps[gap]:
-                del gaps[gap]
+                free[gap].appendleft((first + take, count - take))
+            if not free[gap]:
+                del free[gap]
                 have.pop(at)
             steps.append((length, rank, take, first, capacity - gap))
             put(gap - length, first, take)
             rank, left = rank + take, left - take
+    return steps, over, [(g, *x) for g in have for x in free[g]], next_bin
+
+
+def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
+    """Steps and the number of bins for documents counted by length, in a single sweep without ranges."""
+    steps, _, _, bins = sweep([(length, 0, n) for length, n in counts.items()], [], capacity, 0)
     return steps, bins
 
 
+DOCS, GAPS, STEPS = 0, 1, 2
+INTERVALS = "kind int, size long, first long, n long, bin long, offset long"
+#: Bins opened for documents of a length are numbered from the length times this; those of the last round from (capacity + 1) times this.
+BINS_EACH = 1 << 44
+
+
+def rounds(counts: DataFrame, capacity: int, ranges: tuple[int, ...] = RANGES) -> DataFrame:
+    """The steps (size, first, n, bin, offset) for documents counted by length (length, c): the rows [first, first + n) of length
+    ``size`` go to the bins [bin, bin + n), one each, at ``offset``.
+
+    A round is a stage over intervals of documents and gaps; none of them reaches the driver.
+    """
+    length = F.col("length").cast("long")
+    row = lambda kind, size, bin_: [F.lit(kind).alias("kind"), size.alias("size"), F.lit(0).cast("long").alias("first"), F.col("c").alias("n"), bin_.alias("bin"), F.lit(0).cast("long").alias("offset")]
+    none, long_ = F.lit(0).cast("long"), F.col("length") * 2 > capacity
+    state = counts.where(~long_).select(*row(DOCS, length, none))
+    state = state.union(counts.where(long_).select(*row(STEPS, length, length * BINS_EACH)))
+    state = state.union(counts.where(long_ & (F.col("length") < capacity)).select(*row(GAPS, F.lit(capacity) - length, length * BINS_EACH)))
+
+    def run(last: bool):
+        def match(key: tuple, rows: pa.Table) -> pa.Table:
+            own = list(zip(*(rows[c].to_pylist() for c in ("kind", "size", "first", "n", "bin")), strict=True))
+            docs, gaps = [(s, f, n) for k, s, f, n, _ in own if k == DOCS], [(s, b, n) for k, s, _, n, b in own if k == GAPS]
+            steps, over, left, _ = sweep(docs, gaps, capacity, (capacity + 1) * BINS_EACH if last else None)
+            out = [(STEPS, s, f, n, b, o) for s, f, n, b, o in steps] + [(DOCS, s, f, n, 0, 0) for s, f, n in over] + [(GAPS, s, 0, n, b, 0) for s, b, n in left]
+            kinds = (pa.int32(), *[pa.int64()] * 5)
+            return pa.table({c: pa.array([r[k] for r in out], t) for k, (c, t) in enumerate(zip(("kind", "size", "first", "n", "bin", "offset"), kinds, strict=True))})
+
+        return match
+
+    done = []
+    for k, n in enumerate(ranges):
+        after = state.where(F.col("kind") != STEPS).groupBy(F.floor((F.col("size") - 1) * n / capacity).alias("range")).applyInArrow(run(k == len(ranges) - 1), INTERVALS)
+        done.append(state.where(F.col("kind") == STEPS))
+        state = materialize(after, "round")
+    done.append(state.where(F.col("kind") == STEPS))
+    return reduce(DataFrame.union, done).select("size", "first", "n", "bin", "offset")
+
+
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (any columns, with doc_id, piece, start and a whole ``length`` of 1 to ``capacity``) with sequence_id and offset."""
-    spark = pieces.sparkSession
-    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(RANK_PARTS)).cast("int"))
-    counts = pieces.groupBy("length", "part").agg(F.count("*").alias("c"))
-    first = counts.select("length", "part", (F.sum("c").over(W.partitionBy("length").orderBy("part")) - F.col("c")).alias("first"))
-    rank = F.row_number().over(W.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32"))
-    ranked = pieces.join(first, ["length", "part"]).withColumn("rank", F.col("first") + rank - 1)
-    totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("c").alias("n")).collect()}  # at most `capacity` rows
-    steps, _ = best_fit(totals, capacity)
-    by: dict[int, np.ndarray] = {}
-    for length, group in _grouped(steps):
-        by[length] = np.array(group, np.int64)
+    """``pieces`` (any columns, with doc_id, piece, ids_crc32 and a whole ``length`` of 1 to ``capacity``) with sequence_id and offset."""
+    part, first, rank = spare(pieces, "part", "first", "rank")
+    by_length = pieces.groupBy("length").agg(F.count("*").alias("c"))
+    parts = max(1, -(-(by_length.agg(F.max("c")).first()[0] or 0) // RANK_ROWS))
+    pieces = pieces.withColumn(part, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int"))
+    counts = materialize(pieces.groupBy("length", part).agg(F.count("*").alias("c")), "lengths")
+    before = counts.select("length", part, (F.sum("c").over(W.partitionBy("length").orderBy(part)) - F.col("c")).alias(first))
+    number = F.row_number().over(W.partitionBy("length", part).orderBy("doc_id", "piece", "ids_crc32"))
+    ranked = pieces.join(before, ["length", part]).withColumn(rank, F.col(first) + number - 1).drop(part, first)
+    steps = rounds(counts.groupBy("length").agg(F.sum("c").alias("c")), capacity).toArrow()  # a few steps for each length: bounded by the capacity
+    steps = steps.sort_by([("size", "ascending"), ("first", "ascending")])
+    size, at, bins, offset = (steps[c].to_numpy() for c in ("size", "first", "bin", "offset"))
+    edge = np.searchsorted(size, np.arange(capacity + 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length, rank = batch["length"].to_numpy(zero_copy_only=False), batch["rank"].to_numpy(zero_copy_only=False)
+            length, number = batch["length"].to_numpy(zero_copy_only=False), batch[rank].to_numpy(zero_copy_only=False)
             seq, off = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
             for x in np.unique(length):
-                own, step = np.flatnonzero(length == x), by[int(x)]
-                at = np.searchsorted(step[:, 0], rank[own], "right") - 1
-                seq[own], off[own] = step[at, 2] + rank[own] - step[at, 0], step[at, 3]
-            keep = [c for c in batch.schema.names if c not in ("part", "first", "rank")]
+                own, (a, b) = np.flatnonzero(length == x), edge[x : x + 2]
+                step = a + np.searchsorted(at[a:b], number[own], "right") - 1
+                seq[own], off[own] = bins[step] + number[own] - at[step], offset[step]
+            keep = [c for c in batch.schema.names if c != rank]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(seq), pa.array(off)], names=[*keep, "sequence_id", "offset"])
 
-    kept = [f for f in ranked.schema.fields if f.name not in ("part", "first", "rank")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, offset long"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields if f.name != rank) + ", sequence_id long, offset long"
     return ranked.mapInArrow(run, schema)
 
 
-def _grouped(steps):
-    out: dict[int, list] = {}
-    for length, rank, take, first, offset in steps:
-        out.setdefault(length, []).append((rank, take, first, offset))
-    return out.items()
-
-
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, **kinds) -> DataFrame:
     """Every document's pieces with their sequence and place in it. The pieces are written once, then ranked and placed."""
     return place(materialize(tokenize(docs, capacity, **kinds), "pieces"), capacity)
