@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from tidemark.sources.tables import Table
 
-from .common import materialize, scratch_root, spare
+from .common import materialize, scratch_root, small_batches, spare, squeezed
 
 #: Blocks of one size class in a shard, and of a shard without size classes. With the classes (4 to a power of 2) they
 #: bound a shard's block table.
@@ -201,6 +201,7 @@ def rewrite(docs: DataFrame, plan: DataFrame, old_shard: Column, path: str) -> D
     old, id_, row, to, part, o, i, r, lo, hi = spare(docs, "old", "id", "row", "to", "part", "o", "i", "r", "lo", "hi")
     from_ = [x["old"] for x in dest.where(F.col("shard").isin(touched)).select("old").distinct().collect()]  # a row a shard
     own = docs.withColumns({old: old_shard.cast("int"), id_: F.col("doc_id").cast("long"), row: F.xxhash64("doc_id", "text")}).where(F.col(old).isin(from_))
+    own = squeezed(small_batches(own), "text")  # texts are shuffled twice: to meet the plan, and to their shards
     named = [F.col("old").alias(o), F.col("doc_id").alias(i), F.col("row_hash").alias(r)]
     met = (F.col(old) == F.col(o)) & F.col(id_).eqNullSafe(F.col(i)) & (F.col(row) == F.col(r))
     kept = [F.col(f"`{c}`") for c in docs.columns]
@@ -221,7 +222,7 @@ def rewrite(docs: DataFrame, plan: DataFrame, old_shard: Column, path: str) -> D
     stored = [F.col(f"`{c}`").alias(name, metadata={"own_name": c}) if c.lower() == "shard" else F.col(f"`{c}`") for c in docs.columns]
     each = max(1, -(-max((r["bytes"] for r in shards), default=0) // FILE_BYTES))
     dealt = rows.repartition(max(1, len(touched) * each), F.col(to), F.pmod(F.xxhash64(row), F.lit(each)))
-    table.replace(dealt.select(*stored, F.col(to).alias("shard")), [f"shard={s}" for s in touched])
+    table.replace(squeezed(dealt, "text", back=True).select(*stored, F.col(to).alias("shard")), [f"shard={s}" for s in touched])
     return spark.createDataFrame([(s,) for s in touched], "shard int")
 
 
