@@ -164,3 +164,11 @@ def test_long_words_count_whole():
     units = q.Units()
     a, b = b"x1" * 40 + b"A.", b"x1" * 40 + b".A"
     assert units[a][2:4] != units[b][2:4]
+
+
+def test_neighbours_across_slices(monkeypatch):
+    rng = random.Random(8)
+    texts, index = [prose(rng, 90), "", None, "one", prose(rng, 7)], q.index_vectors()
+    whole = q.neighbour_sums(texts, index)
+    monkeypatch.setattr(q, "PAIRS", 5)
+    assert np.array_equal(q.neighbour_sums(texts, index), whole) and whole.any()

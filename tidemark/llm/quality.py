@@ -37,6 +37,8 @@ THRESHOLD, FOLDS = 0.3, 5
 SHARE_BITS, CONTEXT_BITS, INPUT_BITS, WEIGHT_BITS, MOST = 30, 20, 16, 18, 256.0
 #: Tasks that learn neighbour sums.
 LEARN_TASKS = 16
+#: Neighbours that are counted at once.
+PAIRS = 1 << 17
 #: The unit of a word that stands directly after itself.
 AGAIN = 1
 #: Capitals, other letters and digits as one sign each; and runs of a sign, which count as two.
@@ -98,14 +100,31 @@ def histogram(text: str | None, units: Units) -> tuple[np.ndarray, np.ndarray]:
 def neighbour_sums(texts: list[str], index: np.ndarray, reach: int = 2) -> np.ndarray:
     """Random indexing: each word unit's sum of the index vectors of its neighbours, whole numbers."""
     units, out = Units.small(), np.zeros_like(index)
-    for at in range(0, len(texts), 256):
-        ids = [units.of(t.encode("utf-8", "surrogatepass").split())[:, 0].astype(np.int64) for t in texts[at : at + 256]]
-        codes = np.concatenate([np.empty(0, np.int64), *(a * BUCKETS + b for x in ids for k in range(1, reach + 1) if len(x) > k for a, b in ((x[k:], x[:-k]), (x[:-k], x[k:])))])
-        code, n = np.unique(codes, return_counts=True)
-        if len(code):
-            left = code // BUCKETS
+    held, size = [], 0
+
+    def add() -> None:
+        code, n = np.unique(np.concatenate(held), return_counts=True)
+        for at in range(0, len(code), 8192):  # bounds the rows of index vectors at hand
+            own, times = code[at : at + 8192], n[at : at + 8192]
+            left = own // BUCKETS
             first = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
-            out[left[first]] += np.add.reduceat(index[code % BUCKETS] * n[:, None], first, axis=0)
+            out[left[first]] += np.add.reduceat(index[own % BUCKETS] * times[:, None], first, axis=0)
+        held.clear()
+
+    for text in texts:
+        words = (text or "").encode("utf-8", "surrogatepass").split()
+        for at in range(0, len(words), PAIRS):
+            ids = units.of(words[at : at + PAIRS + reach])[:, 0].astype(np.int64)
+            for k in range(1, reach + 1):
+                b = ids[k : PAIRS + k]
+                a = ids[: len(b)]
+                held += [a * BUCKETS + b, b * BUCKETS + a]
+                size += 2 * len(b)
+            if size >= PAIRS:
+                add()
+                size = 0
+    if size:
+        add()
     return out
 
 
