@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.sources import feeds
-from tidemark.sources.tables import AuditError, Files, Table, export, overwrite_partitions, reconcile, workdir, write_csv
+from tidemark.sources.tables import AuditError, Files, Table, buckets, days, export, overwrite_partitions, reconcile, workdir, write_csv
 
 
 def test_a_failed_audit_leaves_the_table(spark):
@@ -100,3 +100,25 @@ def test_replaced_partitions(spark, tmp_path):
     with pytest.raises(AuditError):
         table.replace(frame([(7, 9)]), ["k=1"])
     assert sorted(map(tuple, table.read().collect())) == [(3, 2), (4, 1), (5, 1), (6, 3)]
+
+
+def test_transforms_are_partitions_that_readers_do_not_see(spark):
+    t = Table(spark, workdir(spark), keyed_partitions=True, transforms={"d": days("at"), "b": buckets("k", 2)})
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, at string, v int").withColumn("at", F.col("at").cast("timestamp"))
+    t.upsert(rows((1, "2024-01-01 10:00:00", 1), (2, "2024-01-02 10:00:00", 2), (3, None, 3)), ["k", "at"])
+    before = t._manifest()["partitions"]
+    t.upsert(rows((1, "2024-01-01 10:00:00", 9), (3, None, 4)), ["k", "at"])
+    after = t._manifest()["partitions"]
+    assert t.read().columns == ["k", "at", "v"]
+    assert sorted((r["k"], r["v"]) for r in t.read().collect()) == [(1, 9), (2, 2), (3, 4)]
+    assert sum(before[p] == after[p] for p in before) == 1  # the day that has no new rows keeps its files
+    with pytest.raises(ValueError, match="named as transforms"):
+        t.publish(rows((1, None, 1)).withColumn("d", F.lit(1)))
+
+
+def test_a_table_without_transforms_is_taken_over(spark):
+    path = workdir(spark)
+    Table(spark, path).publish(spark.createDataFrame([(1, 1), (2, 2)], "k int, v int"))
+    t = Table(spark, path, keyed_partitions=True, transforms={"b": buckets("k", 4)})
+    t.upsert(spark.createDataFrame([(2, 5), (3, 6)], "k int, v int"), ["k"])
+    assert sorted(map(tuple, t.read().collect())) == [(1, 1), (2, 5), (3, 6)]

@@ -97,7 +97,7 @@ def _source(spark: SparkSession, args: argparse.Namespace):
 def consume(spark: SparkSession, args: argparse.Namespace) -> None:
     accounts = events.Accounts()
     spark.streams.addListener(accounts)
-    query = events.start_metrics(_source(spark, args), _table(spark, args, "stream/txn_metrics_1m"), f"{args.root}/checkpoints/metrics", _audit(args, "stream_txn_metrics_1m"), {"availableNow": True} if args.once else None)
+    query = events.start_metrics(_source(spark, args), events.window_table(spark, f"{args.root}/stream/txn_metrics_1m"), f"{args.root}/checkpoints/metrics", _audit(args, "stream_txn_metrics_1m"), {"availableNow": True} if args.once else None)
     events.run_for(query, 0 if args.once else args.seconds)
     a = accounts.of(query)
     print(json.dumps(a.__dict__ | {"counted": a.counted}))
@@ -111,12 +111,12 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def score_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     scorer = scoring.Scorer.load(spark, f"{args.root}/models/scorer.json")
-    query = events.start_scoring(_source(spark, args), scorer, _table(spark, args, "stream/txn_decisions"), f"{args.root}/checkpoints/decisions", _audit(args, "stream_txn_decisions"), {"availableNow": True} if args.once else None)
+    query = events.start_scoring(_source(spark, args), scorer, events.decision_table(spark, f"{args.root}/stream/txn_decisions"), f"{args.root}/checkpoints/decisions", _audit(args, "stream_txn_decisions"), {"availableNow": True} if args.once else None)
     events.run_for(query, 0 if args.once else args.seconds)
 
 
 def stream_check(spark: SparkSession, args: argparse.Namespace) -> None:
-    print(parity.check_lag(_table(spark, args, "stream/txn_metrics_1m").read(), "window_end", args.minutes, datetime.now(timezone.utc)))
+    print(parity.check_lag(events.window_table(spark, f"{args.root}/stream/txn_metrics_1m").read(), "window_end", args.minutes, datetime.now(timezone.utc)))
 
 
 def contracts(spark: SparkSession, args: argparse.Namespace) -> None:

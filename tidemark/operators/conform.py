@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import age_years, card_hash, card_last4, day, haversine_km, reject_reason
 from ..sources.feeds import renamed
@@ -70,11 +70,11 @@ def check_budget(classified: DataFrame, most: float = 0.10) -> float:
 def keep_latest(df: DataFrame, keys: Sequence[str], latest_first: Sequence[str]) -> DataFrame:
     """One row a key: the largest by ``latest_first``, ties by a hash of the whole row, so that reruns agree.
 
-    An aggregate of the largest row, not a window: rows are combined before they are shuffled, and a hot key is one row a task.
+    Spark limits each task to one row a key before the shuffle, so a hot key is one row a task.
     """
-    order = F.struct(*latest_first, F.xxhash64(*df.columns).alias("__tie"))
-    row = F.struct(*df.columns)
-    return df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max_by(row, order).alias("r")).select("r.*")
+    order = [*(F.col(c).desc_nulls_last() for c in latest_first), F.xxhash64(*df.columns).desc()]
+    ranked = df.select("*", F.row_number().over(W.partitionBy(*keys).orderBy(*order)).alias("__rank"))
+    return ranked.where("__rank = 1").drop("__rank")
 
 
 def enrich(df: DataFrame, ref: DataFrame, key: str) -> DataFrame:

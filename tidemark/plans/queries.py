@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contracts import contract_from_dict, results_frame, summarize, validate
 from ..functions import exact_round, fourier_terms, present_tier, seconds_between, strip_prefix, weekday_name
 from ..operators import conform, forecast, kpis, parity, scoring
 from ..session import utc
 from ..sources import feeds
-from ..sources.tables import Table, export, overwrite_partitions, reconcile, workdir
+from ..sources.tables import Table, buckets, export, overwrite_partitions, reconcile, workdir
 from ..streaming import events as stream
 from . import sql as q
 
@@ -125,7 +127,7 @@ def _replay(spark, sf_dir):
 )
 def _upsert(spark, sf_dir):
     """A table, then a batch that changes and adds rows, then the same batch again."""
-    table = Table(spark, workdir(spark))
+    table = Table(spark, workdir(spark), keyed_partitions=True, transforms={"bucket": buckets("event_id", 8)})
     feed = feeds.transactions(spark, sf_dir, False).select("event_id", "category", "amt")
     table.upsert(feed.where("event_id % 5 <> 1"), ["event_id"], 0)
     for _ in range(2):
@@ -213,7 +215,11 @@ def _parity(spark, sf_dir):
     return parity.drift(a, b, ["category", "trans_hour_ts"], {"txns": 0, "total_amt": 0.01}).select("category", "trans_hour_ts", "txns_a", "txns_b")
 
 
-@query("j02_parity_clean", "SELECT CAST(0 AS BIGINT) AS differing")
+@query(
+    "j02_parity_clean",
+    f"{q.WITH}, {q.HOURLY}, twin AS (SELECT trans_hour_ts, category, count(*) AS n, {q.total()} AS amount FROM tx GROUP BY ALL)"
+    " SELECT count(*) AS differing FROM hourly h FULL JOIN twin t ON h.trans_hour_ts = t.trans_hour_ts AND h.category = t.category WHERE h.txns IS DISTINCT FROM t.n OR h.total_amt IS DISTINCT FROM t.amount",
+)
 def _parity_clean(spark, sf_dir):
     """The hourly table made twice, once from daily-hour figures in SQL: nothing differs."""
     t = tx(spark, sf_dir)
@@ -394,7 +400,13 @@ def _staging(spark, sf_dir):
     )
 
 
-@query("a12_contract_tests", f"{q.WITH}, {q.HOURLY} SELECT 'hourly' AS contract, CAST(4 AS BIGINT) AS checks, CAST(0 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS warnings, 'PASSED' AS status WHERE (SELECT count(*) FROM hourly) > 0")
+@query(
+    "a12_contract_tests",
+    f"""{q.WITH}, {q.HOURLY}, found AS (SELECT (SELECT count(*) FROM (SELECT 1 FROM hourly GROUP BY trans_hour_ts, category HAVING count(*) > 1)) AS repeated,
+    count(*) FILTER (WHERE txns <= 0) AS none, count(*) FILTER (WHERE fraud_rate < 0 OR fraud_rate > 1) AS outside, count(*) FILTER (WHERE trans_hour_ts IS NULL OR category IS NULL) AS missing FROM hourly),
+    n AS (SELECT CAST(repeated > 0 AS BIGINT) + CAST(none > 0 AS BIGINT) + CAST(outside > 0 AS BIGINT) + CAST(missing > 0 AS BIGINT) AS errors FROM found)
+    SELECT 'hourly' AS contract, CAST(4 AS BIGINT) AS checks, errors, CAST(0 AS BIGINT) AS warnings, CASE WHEN errors = 0 THEN 'PASSED' ELSE 'FAILED' END AS status FROM n""",
+)
 def _warehouse_tests(spark, sf_dir):
     """Grain, ranges and positive counts of a mart, as contract checks."""
     c = contract_from_dict(
@@ -506,14 +518,100 @@ def _summary(spark, sf_dir):
 def _stream(spark, sf_dir):
     """The feed as JSON files through the streaming arm: redelivered events are counted once."""
     path = workdir(spark)
-    feed = feeds.transactions(spark, sf_dir, False).withColumns({"event_ts": F.col("trans_time").cast("string"), "redelivery": F.explode(F.when(F.col("event_id") % 11 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))})
-    feed.select("trans_num", "event_ts", "amt", "category", F.col("is_fraud").cast("long").alias("is_fraud"), "redelivery").write.json(f"{path}/in")
-    table = Table(spark, f"{path}/windows")
+    _on_time(spark, sf_dir).drop("event_id").write.json(f"{path}/in")
+    table = stream.window_table(spark, f"{path}/windows")
     stream.start_metrics(stream.file_source(spark, f"{path}/in", 10_000), table, f"{path}/checkpoint", trigger={"availableNow": True}).awaitTermination()
     out = table.read()
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
+def _on_time(spark, sf_dir):
+    """The feed as stream events; those with an id divisible by 11 are sent twice."""
+    twice = F.when(F.col("event_id") % 11 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    feed = feeds.transactions(spark, sf_dir, False).withColumns({"event_ts": F.col("trans_time").cast("string"), "redelivery": F.explode(twice)})
+    return feed.select("event_id", "trans_num", "event_ts", "amt", "category", F.col("is_fraud").cast("long").alias("is_fraud"), "redelivery")
+
+
+@query(
+    "t07_late_account",
+    """WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_id % 11 = 0) AS twice, count(*) FILTER (WHERE event_id % 13 = 0) AS late FROM events)
+    SELECT n + twice + late AS rows_in, twice AS duplicates, late, n AS counted, n AS in_windows FROM n""",
+)
+def _late(spark, sf_dir):
+    """All events, some twice; then, on the same checkpoint, new ones a year older, which the watermark has passed."""
+    path, accounts = workdir(spark), stream.Accounts()
+    events, table = _on_time(spark, sf_dir), stream.window_table(spark, f"{path}/windows")
+    old = events.where("event_id % 13 = 0 and not redelivery").withColumns({"trans_num": F.concat(F.lit("late-"), "trans_num"), "event_ts": (F.col("event_ts").cast("timestamp_ntz") - F.expr("interval 366 days")).cast("string")})
+    spark.streams.addListener(accounts)
+    try:
+        for sent in (events, old):
+            sent.drop("event_id").write.mode("append").json(f"{path}/in")
+            run = stream.start_metrics(stream.file_source(spark, f"{path}/in", 10_000), table, f"{path}/checkpoint", trigger={"availableNow": True})
+            run.awaitTermination()
+            account = accounts.of(run)
+    finally:
+        spark.streams.removeListener(accounts)
+    seen = spark.createDataFrame([(account.rows_in, account.duplicates, account.late, account.counted)], "rows_in long, duplicates long, late long, counted long")
+    return seen.crossJoin(table.read().agg(F.sum("txns").alias("in_windows")))
+
+
+@query(
+    "t06_audited_batches",
+    f"WITH {q.FEED} SELECT date_trunc('minute', trans_time) AS window_start, category, {q.COUNT}, false AS published_in_breach FROM feed GROUP BY 1, 2",
+)
+def _audited(spark, sf_dir):
+    """A stream whose batch breaches its contract publishes nothing; restarted under a contract that holds, it publishes all."""
+    path = workdir(spark)
+    table = stream.window_table(spark, f"{path}/windows")
+    _on_time(spark, sf_dir).drop("event_id").write.json(f"{path}/in")
+
+    def run(most: float):
+        contract = contract_from_dict({"name": "windows", "checks": [{"type": "accepted_range", "column": "txns", "min": 1, "max": most}]})
+        stream.start_metrics(stream.file_source(spark, f"{path}/in", 10_000), table, f"{path}/checkpoint", lambda df: validate(df, contract), {"availableNow": True}).awaitTermination()
+
+    try:
+        run(0)
+    except StreamingQueryException:
+        pass
+    early = table.current() is not None
+    run(1e12)
+    return table.read().select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "category", "txns", F.lit(early).alias("published_in_breach"))
+
+
+@query(
+    "t10_stream_decisions",
+    f"WITH {q.FEED}, p AS (SELECT *, 1 / (1 + exp(-(ln(1 + greatest(coalesce(amt, 0), 0)) - 3 + CASE WHEN category = 'error' THEN 0.5 ELSE 0 END))) AS p FROM feed)"
+    " SELECT trans_num, amt, category, CAST(is_fraud AS BIGINT) AS is_fraud, CASE WHEN p >= 0.9 THEN 'DECLINE' WHEN p >= 0.3 THEN 'REVIEW' ELSE 'APPROVE' END AS decision FROM p",
+)
+def _decisions(spark, sf_dir):
+    """Events scored in the stream by a given model, redelivered ones once."""
+    path, zero = workdir(spark), dict.fromkeys(scoring.NUMERIC, 0.0)
+    weights = zero | {"log_amt": 1.0, "category=error": 0.5}
+    model = scoring.Scorer(["error"], zero, dict.fromkeys(scoring.NUMERIC, 1.0), weights, -3.0, 0.3, 0.9)
+    table = stream.decision_table(spark, f"{path}/decisions", 8)
+    _on_time(spark, sf_dir).drop("event_id").write.json(f"{path}/in")
+    stream.start_scoring(stream.file_source(spark, f"{path}/in", 10_000), model, table, f"{path}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return table.read().select("trans_num", "amt", "category", "is_fraud", "decision")
+
+
+@query("t11_lag", f"WITH {q.FEED} SELECT CAST(date_diff('minute', max(date_trunc('minute', trans_time)) + INTERVAL 1 MINUTE, TIMESTAMP '2024-03-01 00:00:00') AS BIGINT) AS minutes FROM feed")
+def _lag(spark, sf_dir):
+    windows = stream.window_metrics(feeds.transactions(spark, sf_dir, False), time="trans_time")
+    minutes = parity.check_lag(windows, "window_end", float("inf"), datetime(2024, 3, 1, tzinfo=timezone.utc))
+    return spark.createDataFrame([(round(minutes),)], "minutes long")
+
+
+@query(
+    "t12_replay_late",
+    f"""WITH {q.FEED}, n AS (SELECT trans_num, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST((row_number() OVER (ORDER BY left(md5(trans_num), 2), trans_num) - 1) // 400 AS BIGINT)) AS ingested_ts FROM feed)
+    SELECT trans_num, ingested_ts, ingested_ts - INTERVAL 600 SECONDS AS event_ts FROM n""",
+)
+def _replay_late(spark, sf_dir):
+    """Every event replayed ten minutes late, at an even pace."""
+    sent = stream.replay(feeds.transactions(spark, sf_dir, False), duplicates=0.0, force_late=600)
+    return sent.select("trans_num", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("ingested_ts", "event_ts")))
+
+
 # ---- scoring and forecasting
 
 

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -72,6 +72,16 @@ class Files:
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.Path(path))) if self.exists(path) else []
 
 
+def days(time: str) -> str:
+    """The UTC day of a timestamp column, whatever the session's time zone; a transform of tables."""
+    return f"date_from_unix_date(cast(floor(unix_seconds({time}) / 86400) as int))"
+
+
+def buckets(key: str, n: int) -> str:
+    """One of ``n`` buckets by the hash of a column; a transform of tables."""
+    return f"cast(pmod(xxhash64({key}), {n}) as int)"
+
+
 class AuditError(Exception):
     """A staged version was not published."""
 
@@ -81,13 +91,19 @@ class Table:
     """A versioned table at ``path``.
 
     ``keyed_partitions``: the partition columns follow from the keys of an upsert (as a window's day from its start), so
-    that a row and the one it replaces lie in one partition.
+    that a row and the one it replaces lie in one partition. ``transforms`` are further partition columns by name, as SQL over
+    the rows (``days`` and ``buckets`` write such SQL); they are made on writing and readers don't see them.
     """
 
     spark: SparkSession
     path: str
     partition_by: Sequence[str] = ()
     keyed_partitions: bool = False
+    transforms: Mapping[str, str] = field(default_factory=dict)
+
+    @property
+    def _by(self) -> list[str]:
+        return [*self.partition_by, *self.transforms]
 
     @property
     def files(self) -> Files:
@@ -106,10 +122,10 @@ class Table:
         schema = StructType.fromJson(manifest["schema"])
         folders = [f"{self.path}/{v}/{p}".rstrip("/") for p, v in manifest["partitions"].items() if only is None or p in only]
         if not folders:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(StructType([*schema.fields, StructField(VERSION, StringType())])) if self.partition_by else self.spark.read.schema(schema)
-        out = reader.option("basePath", self.path).parquet(*folders) if self.partition_by else reader.parquet(*folders)
-        return out.select(*schema.names)
+            return self.spark.createDataFrame([], schema).drop(*self.transforms)
+        reader = self.spark.read.schema(StructType([*schema.fields, StructField(VERSION, StringType())])) if self._by else self.spark.read.schema(schema)
+        out = reader.option("basePath", self.path).parquet(*folders) if self._by else reader.parquet(*folders)
+        return out.select(*(c for c in schema.names if c not in self.transforms))
 
     def read(self) -> DataFrame:
         manifest = self._manifest()
@@ -120,10 +136,13 @@ class Table:
     def _stage(self, df: DataFrame) -> dict:
         """Write ``df`` to a folder of its own; the manifest of what it holds."""
         version = f"{VERSION}={uuid.uuid4().hex}"
+        if clash := set(self.transforms) & set(df.columns):
+            raise ValueError(f"columns named as transforms: {sorted(clash)}")
+        df = df.withColumns({name: F.expr(made) for name, made in self.transforms.items()}) if self.transforms else df
         writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(f"{self.path}/{version}")
+        (writer.partitionBy(*self._by) if self._by else writer).parquet(f"{self.path}/{version}")
         found = [""]
-        for _ in self.partition_by:
+        for _ in self._by:
             found = [f"{p}/{d}".lstrip("/") for p in found for d in self.files.list(f"{self.path}/{version}/{p}") if "=" in d]
         return {"schema": df.schema.jsonValue(), "partitions": dict.fromkeys(found, version)}
 
@@ -171,7 +190,8 @@ class Table:
         manifest, kept = self._manifest(), {}
         if manifest is not None:
             old, only = self._open(manifest), None
-            if self.keyed_partitions and self.partition_by:
+            as_now = all([d.split("=")[0] for d in p.split("/")] == self._by for p in manifest["partitions"])
+            if self.keyed_partitions and self._by and as_now:
                 fresh = self._stage(rows)  # its folders name the partitions
                 rows, only = self._open(fresh), set(fresh["partitions"])
                 kept = {p: v for p, v in manifest["partitions"].items() if p not in only}

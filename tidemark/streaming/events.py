@@ -13,11 +13,22 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ..functions import exact_avg, exact_sum
 from ..operators.scoring import Scorer
 from ..sources.feeds import STREAM_EVENT, decode_events
-from ..sources.tables import Table
+from ..sources.tables import Table, buckets, days
 
 WATERMARK, WINDOW = "2 minutes", "1 minute"
 MAX_OFFSETS = 50_000
 WINDOW_KEYS = ("window_start", "category")
+DECISION_BUCKETS = 64
+
+
+def window_table(spark: SparkSession, path: str) -> Table:
+    """The sink of ``start_metrics``, a partition a day: a batch reads and writes the days it has windows of."""
+    return Table(spark, path, keyed_partitions=True, transforms={"window_day": days("window_start")})
+
+
+def decision_table(spark: SparkSession, path: str, n: int = DECISION_BUCKETS) -> Table:
+    """The sink of ``start_scoring``, in ``n`` buckets by trans_num: choose as many as hold the rows in parts of some hundred MB."""
+    return Table(spark, path, keyed_partitions=True, transforms={"bucket": buckets("trans_num", n)})
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets: int = MAX_OFFSETS) -> DataFrame:
