@@ -81,3 +81,12 @@ def test_bands_and_buckets(spark):
     assert one(spark, f.weekday_name(F.lit("2024-01-01").cast("date"))) == "Monday"
     assert one(spark, f.strip_prefix(F.lit("fraud_x"), "fraud_")) == "x"
     assert one(spark, f.day_ordinal(F.lit("1970-01-02").cast("date"))) == 1
+
+
+def test_compact_numbers(spark):
+    from tidemark.functions import compact_number
+
+    want = {0.0: "0", 999.0: "999", 1000.0: "1K", 1234.0: "1.23K", 100000.0: "100K", 1234567.0: "1.23M", -2500000.0: "-2.5M", 7e9: "7B", 1.5e12: "1,500B".replace(",", "")}
+    got = {r["v"]: r["s"] for r in spark.createDataFrame([(v,) for v in want], "v double").select("v", compact_number("v").alias("s")).collect()}
+    assert got == want
+    assert spark.range(1).select(compact_number(F.lit(None).cast("double")).alias("s")).first()["s"] is None

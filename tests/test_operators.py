@@ -85,6 +85,35 @@ def test_fourier_regression_follows_a_season(spark):
     assert forecast.errors(forecast.fourier_forecast(s, 28, 2)).first()["mape"] < 2
 
 
+def test_fourier_regression_is_least_squares(spark):
+    """Forecasts, intervals and the refit against a solution by numpy."""
+    import math
+
+    import numpy as np
+
+    rows = [(day(k), int(900 + 2 * k + 90 * math.sin(k / 58.0) + 40 * (k % 7 == 2) + (k * 7919) % 23)) for k in range(500)]
+    s = spark.createDataFrame(rows, "day date, txns long")
+
+    def terms(d):
+        t = d.toordinal() - 719163
+        angle = [2 * math.pi * k * t / 365.25 for k in (1, 2)]
+        return [1.0, t / 365.25, *(float(d.weekday() == k) for k in range(1, 7)), *(f(a) for a in angle for f in (math.sin, math.cos))]
+
+    def solve(train, days):
+        x, y = np.array([terms(d) for d, _ in train]), np.array([float(n) for _, n in train])
+        w = np.linalg.lstsq(x, y, rcond=None)[0]
+        off = 1.959964 * math.sqrt(((y - x @ w) ** 2).sum() / (len(y) - x.shape[1]))
+        return np.array([terms(d) for d in days]) @ w, off
+
+    got = forecast.fourier_forecast(s, 56, 2).orderBy("day").collect()
+    want, off = solve(rows[:-56], [d for d, _ in rows[-56:]])
+    assert [r["day"] for r in got] == [d for d, _ in rows[-56:]] and [r["actual"] for r in got] == [n for _, n in rows[-56:]]
+    assert np.allclose([r["forecast"] for r in got], want, rtol=1e-3) and np.allclose([r["upper"] - r["lower"] for r in got], 2 * off, rtol=1e-3)
+    ahead = forecast.fourier_future(s, 28, 2).orderBy("day").collect()
+    assert [r["day"] for r in ahead] == [day(500 + k) for k in range(28)]
+    assert np.allclose([r["forecast"] for r in ahead], solve(rows, [r["day"] for r in ahead])[0], rtol=1e-3)
+
+
 def separable(spark):
     rows = [(10.0 + k % 5, 5.0, "food", 12, 0) for k in range(400)] + [(900.0 + k, 80.0, "net", 2, 1) for k in range(40)]
     return spark.createDataFrame(rows, "amt double, distance_km double, category string, trans_hour int, is_fraud int")

@@ -89,3 +89,15 @@ def test_replay_is_repeatable(spark):
     again = [r for r in a if r["redelivery"]]
     assert len(a) == 500 + len(again) and 5 < len(again) < 60 and any(r["late"] for r in a)
     assert all(r["late"] for r in ev.replay(tx, force_late=600).collect())
+
+
+def test_delivery_is_paced_and_counted(spark):
+    rows = [(k, f"2024-01-01 00:00:{k % 4:02d}") for k in range(40)] + [(99, None)]
+    df, now, sent = spark.createDataFrame(rows, "id int, ingested_ts string"), [0.0], []
+    wait = lambda s: now.__setitem__(0, now[0] + s)
+    send = lambda part: sent.append((now[0], sorted(r["id"] for r in part.collect())))
+    assert ev.deliver(df, send, 1, clock=lambda: now[0], sleep=wait) == 41
+    assert sent == [(0.0, [99])] + [(float(k), list(range(k, 40, 4))) for k in range(4)]
+    assert ev.deliver(df, send) == 41 and ev.deliver(df.limit(0), send, 1) == 0
+    with pytest.raises(ev.Undelivered):
+        ev.deliver(df, lambda part: part.limit(3).collect(), 1, clock=lambda: now[0], sleep=wait)

@@ -122,3 +122,36 @@ def test_a_table_without_transforms_is_taken_over(spark):
     t = Table(spark, path, keyed_partitions=True, transforms={"b": buckets("k", 4)})
     t.upsert(spark.createDataFrame([(2, 5), (3, 6)], "k int, v int"), ["k"])
     assert sorted(map(tuple, t.read().collect())) == [(1, 1), (2, 5), (3, 6)]
+
+
+def test_other_file_formats(spark):
+    t = Table(spark, workdir(spark), ["p"], keyed_partitions=True, kind="orc")
+    rows = lambda *x: spark.createDataFrame(list(x), "k int, p string")
+    t.upsert(rows((1, "a"), (2, "b")), ["k"])
+    t.upsert(rows((2, "b"), (3, "c")), ["k"])
+    assert sorted(map(tuple, t.read().collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    assert any(name.endswith(".orc") for v in t._manifest()["partitions"].values() for name in t.files.list(f"{t.path}/{v}/p=a"))
+
+
+def test_tables_of_the_catalog_are_overwritten_whole(spark):
+    from tidemark.sources.tables import save_managed
+
+    path = workdir(spark)
+    try:
+        for n in (5, 3):
+            assert save_managed(spark.range(n), "tidemark_managed", "orc", path).count() == n
+    finally:
+        spark.sql("drop table if exists tidemark_managed")
+
+
+def test_dashboard(spark):
+    from tidemark.operators import conform
+    from tidemark.plans import dashboard
+
+    tx = conform.conform(feeds.transactions(spark, "/root/testdata/sf0.001", True), "salt")
+    rejected = conform.classify(conform.conform(feeds.dirty_transactions(spark, "/root/testdata/sf0.001", True), "salt"), feeds.FEED_CATEGORIES).where("reject_reason is not null")
+    rows = dashboard.collect(dashboard.figures(tx, rejected, "2024-02-01 00:00:00"))
+    assert len(rows["tiles"]) == 1 and rows["tiles"][0]["txns"] == tx.count() and rows["tiles"][0]["quarantined"] == rejected.count()
+    assert sum(r["txns"] for r in rows["daily"]) == tx.count() and len(rows["states"]) <= 12 and rows["quarantine"]
+    page = dashboard.as_page(rows | {"windows": [{"category": "<b>"}], "none": []})
+    assert "&lt;b&gt;" in page and "<p>no rows</p>" in page and dashboard.as_json(rows).startswith("{")

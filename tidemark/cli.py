@@ -14,8 +14,9 @@ from pyspark.sql import SparkSession, functions as F
 from . import session
 from .contracts import enforce, load_contracts, results_frame, summarize, validate, write_report
 from .operators import conform, kpis, parity, scoring
+from .plans import dashboard as board
 from .sources import download, feeds
-from .sources.tables import Table, export, reconcile
+from .sources.tables import Files, Table, export, reconcile
 from .streaming import events
 
 
@@ -84,10 +85,8 @@ def export_all(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def produce(spark: SparkSession, args: argparse.Namespace) -> None:
     sent = events.replay(_table(spark, args, "silver/transactions").read())
-    if args.kafka:
-        events.kafka_sink(sent, args.kafka, args.topic)
-    else:
-        sent.write.mode("append").json(f"{args.root}/stream/in")
+    send = (lambda df: events.kafka_sink(df, args.kafka, args.topic)) if args.kafka else (lambda df: df.write.mode("append").json(f"{args.root}/stream/in"))
+    print(json.dumps({"delivered": events.deliver(sent, send, args.pace)}))
 
 
 def _source(spark: SparkSession, args: argparse.Namespace):
@@ -146,7 +145,18 @@ def summary(spark: SparkSession, args: argparse.Namespace) -> None:
         print(json.dumps(row.asDict()))
 
 
-COMMANDS = {"ingest": ingest, "summary": summary, "bronze": bronze, "silver": silver, "gold": gold, "export": export_all, "batch": batch, "produce": produce, "consume": consume, "train": train, "score-stream": score_stream, "stream-check": stream_check, "contracts": contracts}
+def dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The published tables' figures as JSON and as a page, beside the tables."""
+    tx, rejected = (_table(spark, args, f"silver/{name}").read() for name in ("transactions", "transactions_quarantine"))
+    decisions, windows = events.decision_table(spark, f"{args.root}/stream/txn_decisions"), events.window_table(spark, f"{args.root}/stream/txn_metrics_1m")
+    now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    rows = board.collect(board.figures(tx, rejected, now, *(t.read() if t.current() is not None else None for t in (decisions, windows))))
+    files = Files(spark, args.root)
+    files.write(f"{args.root}/dashboard/data.json", board.as_json(rows))
+    files.write(f"{args.root}/dashboard/index.html", board.as_page(rows))
+
+
+COMMANDS = {"dashboard": dashboard, "ingest": ingest, "summary": summary, "bronze": bronze, "silver": silver, "gold": gold, "export": export_all, "batch": batch, "produce": produce, "consume": consume, "train": train, "score-stream": score_stream, "stream-check": stream_check, "contracts": contracts}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -160,6 +170,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--kafka", default="", help="bootstrap servers; files are used without")
     p.add_argument("--topic", default="transactions")
     p.add_argument("--seconds", type=float, default=120)
+    p.add_argument("--pace", type=float, default=0, help="produce in slices of so many seconds, by the clock; 0: at once")
     p.add_argument("--minutes", type=float, default=10)
     p.add_argument("--urls", default="{}", help="JSON of file names and addresses to download")
     p.add_argument("--force", action="store_true", help="download again what is there")

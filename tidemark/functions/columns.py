@@ -131,6 +131,17 @@ def strip_prefix(name: Column | str, prefix: str) -> Column:
     return F.when(_c(name).startswith(prefix), F.substr(_c(name), F.lit(len(prefix) + 1))).otherwise(_c(name))
 
 
+def compact_number(x: Column | str) -> Column:
+    """1234567 as 1.23M: two decimals at most of billions, millions or thousands; whole numbers with commas below."""
+    v = _c(x).cast("double")
+
+    def scaled(unit: float, name: str) -> Column:
+        return F.concat(F.regexp_replace(F.format_string("%.2f", v / unit), r"\.?0+$", ""), F.lit(name))
+
+    size = F.abs(v)
+    return F.when(size >= 1e9, scaled(1e9, "B")).when(size >= 1e6, scaled(1e6, "M")).when(size >= 1e3, scaled(1e3, "K")).when(size.isNotNull(), F.format_string("%,.0f", v))
+
+
 def fourier_terms(t: Column | str, orders: int, period: float = 365.25) -> list[Column]:
     """sin and cos of each order, named s1, c1, s2, ..."""
     out = []

@@ -46,18 +46,37 @@ def with_terms(series: DataFrame, orders: int) -> DataFrame:
     return series.select("*", (t / 365.25).alias("trend"), *dummies, *fourier_terms(t, orders))
 
 
-def fourier_forecast(series: DataFrame, horizon: int, orders: int = 5) -> DataFrame:
-    """day, actual and forecast of the last ``horizon`` days by least squares on the days before."""
+Z95 = 1.959964
+
+
+def _predicted(train: DataFrame, test: DataFrame, orders: int) -> DataFrame:
+    """``test`` with forecast, lower and upper by least squares on ``train``: a 95 % interval by the residuals' deviation.
+
+    The coefficients' own uncertainty is not in the interval.
+    """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
-    x = with_terms(series, orders)
-    names = [c for c in x.columns if c not in series.columns]
-    x = VectorAssembler(inputCols=names, outputCol="features").transform(x.withColumn("label", F.col("txns").cast("double")))
-    x = x.crossJoin(F.broadcast(series.agg(F.max("day").alias("end"))))
-    train, test = x.where(F.datediff("end", "day") >= horizon), x.where(F.datediff("end", "day") < horizon)
-    model = LinearRegression(regParam=1e-6, solver="normal").fit(train.select("features", "label"))
-    return model.transform(test).select("day", F.col("txns").alias("actual"), F.col("prediction").alias("forecast"))
+    x, y = with_terms(train, orders), with_terms(test, orders)
+    features = VectorAssembler(inputCols=[c for c in x.columns if c not in train.columns], outputCol="features")
+    model = LinearRegression(regParam=1e-6, solver="normal").fit(features.transform(x).select("features", F.col("txns").cast("double").alias("label")))
+    fit = model.summary
+    spread = Z95 * (fit.meanSquaredError * fit.numInstances / max(1, fit.degreesOfFreedom)) ** 0.5
+    p = F.col("prediction")
+    return model.transform(features.transform(y)).select(*test.columns, p.alias("forecast"), (p - spread).alias("lower"), (p + spread).alias("upper"))
+
+
+def fourier_forecast(series: DataFrame, horizon: int, orders: int = 5) -> DataFrame:
+    """day, actual, forecast, lower and upper of the last ``horizon`` days by least squares on the days before."""
+    x = series.select("day", "txns").crossJoin(F.broadcast(series.agg(F.max("day").alias("end"))))  # one row
+    back = F.datediff("end", "day")
+    return _predicted(x.where(back >= horizon), x.where(back < horizon), orders).select("day", F.col("txns").alias("actual"), "forecast", "lower", "upper")
+
+
+def fourier_future(series: DataFrame, days: int = 28, orders: int = 5) -> DataFrame:
+    """day, forecast, lower and upper of the ``days`` after the last, fitted anew on all of them."""
+    future = series.agg(F.max("day").alias("end")).select(F.explode(F.sequence(F.date_add("end", 1), F.date_add("end", days))).alias("day"))
+    return _predicted(series.select("day", "txns"), future, orders)
 
 
 def sweep(series: DataFrame, horizon: int, orders: Sequence[int] = (3, 4, 5, 6, 8, 10)) -> DataFrame:

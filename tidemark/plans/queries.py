@@ -9,13 +9,14 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contracts import contract_from_dict, results_frame, summarize, validate
-from ..functions import exact_round, fourier_terms, present_tier, seconds_between, strip_prefix, weekday_name
+from ..functions import compact_number, exact_round, fourier_terms, present_tier, seconds_between, strip_prefix, weekday_name
 from ..operators import conform, forecast, kpis, parity, scoring
 from ..session import utc
 from ..sources import feeds
 from ..sources.tables import Table, buckets, export, overwrite_partitions, reconcile, workdir
 from ..streaming import events as stream
 from . import sql as q
+from . import views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,6 +115,16 @@ def _json(spark, sf_dir):
     return feeds.decode_events(good.union(bad)).select("trans_num", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), "amt", "category", "state", "is_fraud")
 
 
+@query("s17_paced_delivery", "SELECT 'all' AS what, count(*) AS delivered, count(*) AS arrived FROM events")
+def _deliver(spark, sf_dir):
+    """Every event handed over in slices by its time, as fast as they go; what was counted on the way and what arrived."""
+    path = f"{workdir(spark)}/out"
+    sent = stream.replay(feeds.transactions(spark, sf_dir, False), duplicates=0.0, per_second=200)
+    n = sent.count()
+    went = stream.deliver(sent, lambda df: df.write.mode("append").json(path), max(1.0, n / 200 / 4), sleep=lambda _: None)
+    return spark.read.schema(feeds.STREAM_EVENT).json(path).groupBy(F.lit("all").alias("what")).agg(F.lit(went).cast("long").alias("delivered"), F.count("*").alias("arrived"))
+
+
 @query("s16_replay_identity", "SELECT 'all' AS what, count(*) AS events FROM events")
 def _replay(spark, sf_dir):
     """Replayed events without redeliveries: as many as transactions, whichever are late."""
@@ -121,17 +132,24 @@ def _replay(spark, sf_dir):
     return sent.where("not redelivery").groupBy(F.lit("all").alias("what")).agg(F.count_distinct("trans_num").alias("events"))
 
 
+@query("s21_table_kind", f"{q.WITH} {q.STATES}")
+def _kind(spark, sf_dir):
+    """A partitioned table in another file format, published and read again."""
+    table = Table(spark, workdir(spark), transforms={"day": "to_date(trans_hour_ts)"}, kind="orc")
+    return table.publish(kpis.state_hourly_volume(tx(spark, sf_dir, state=True)))
+
+
 @query(
     "s18_upsert",
-    f"WITH {q.FEED} SELECT category, {q.COUNT}, {q.total('CASE WHEN event_id % 2 = 0 THEN amt + 1 ELSE amt END')} AS total_amt FROM feed WHERE event_id % 5 <> 1 OR event_id % 2 = 0 GROUP BY 1",
+    f"WITH {q.FEED} SELECT category, {q.COUNT}, {q.total('CASE WHEN event_id % 2 = 0 OR event_id % 5 = 1 THEN amt + 1 ELSE amt END')} AS total_amt FROM feed GROUP BY 1",
 )
 def _upsert(spark, sf_dir):
-    """A table, then a batch that changes and adds rows, then the same batch again."""
+    """A table, then a batch that changes rows and adds all those the table lacks, then the same batch again."""
     table = Table(spark, workdir(spark), keyed_partitions=True, transforms={"bucket": buckets("event_id", 8)})
     feed = feeds.transactions(spark, sf_dir, False).select("event_id", "category", "amt")
     table.upsert(feed.where("event_id % 5 <> 1"), ["event_id"], 0)
     for _ in range(2):
-        table.upsert(feed.where("event_id % 2 = 0").withColumn("amt", F.col("amt") + 1), ["event_id"], 1)
+        table.upsert(feed.where("event_id % 2 = 0 or event_id % 5 = 1").withColumn("amt", F.col("amt") + 1), ["event_id"], 1)
     return table.read().groupBy("category").agg(F.count("*").alias("txns"), kpis.exact_sum("amt").alias("total_amt"))
 
 
@@ -400,6 +418,50 @@ def _staging(spark, sf_dir):
     )
 
 
+@query("p18_stg_transactions", f"{q.WITH}, {q.CHANNELS} SELECT trans_num, trans_date, trans_hour, cc_num_hash, merchant, tx.category, channel, amt, state, distance_km, is_fraud, 'b1' AS batch_id FROM tx LEFT JOIN channels USING (category)")
+def _stg_transactions(spark, sf_dir):
+    t = conform.enrich(tx(spark, sf_dir, state=True), feeds.categories(spark), "category")
+    views.stage({"stg_transactions": t.withColumns({"batch_id": F.lit("b1"), "ingested_at": F.current_timestamp()})})
+    return spark.sql("SELECT trans_num, trans_date, trans_hour, cc_num_hash, merchant, category, channel, amt, state, distance_km, is_fraud, batch_id FROM stg_transactions")
+
+
+@query("p18_stg_dim_category", f"WITH {q.CHANNELS} SELECT category, channel FROM channels")
+def _stg_dim_category(spark, sf_dir):
+    views.stage({"stg_dim_category": feeds.categories(spark)})
+    return spark.table("stg_dim_category")
+
+
+@query("p18_stg_merchant_risk", f"{q.WITH} SELECT merchant, category, {q.SUMS}, {q.ratio('sum(is_fraud)', 'count(*)')} AS fraud_rate FROM tx GROUP BY 1, 2 HAVING count(*) >= 20")
+def _stg_merchant_risk(spark, sf_dir):
+    views.stage({"stg_merchant_risk": kpis.merchant_risk(tx(spark, sf_dir))})
+    return spark.table("stg_merchant_risk")
+
+
+@query("p18_stg_category_hourly", f"{q.WITH}, {q.HOURLY} SELECT * FROM hourly")
+def _stg_category_hourly(spark, sf_dir):
+    views.stage({"stg_spark_category_hourly_fraud": kpis.category_hourly_fraud(tx(spark, sf_dir))})
+    return spark.table("stg_spark_category_hourly_fraud")
+
+
+@query("p18_stg_state_hourly", f"{q.WITH} {q.STATES}")
+def _stg_state_hourly(spark, sf_dir):
+    views.stage({"stg_spark_state_hourly_volume": kpis.state_hourly_volume(tx(spark, sf_dir, state=True))})
+    return spark.table("stg_spark_state_hourly_volume")
+
+
+@query(
+    "p26_compact_numbers",
+    f"""{q.WITH}, t AS (SELECT state, CAST(count(*) AS DOUBLE) AS v FROM tx GROUP BY 1 UNION ALL SELECT state, {q.total()} FROM tx GROUP BY 1 UNION ALL SELECT state, -1000 * {q.total()} FROM tx GROUP BY 1)
+    SELECT state, v, CASE WHEN abs(v) >= 1e9 THEN regexp_replace(printf('%.2f', {q.r('v / 1e9', 2)}), '\\.?0+$', '') || 'B' WHEN abs(v) >= 1e6 THEN regexp_replace(printf('%.2f', {q.r('v / 1e6', 2)}), '\\.?0+$', '') || 'M'
+    WHEN abs(v) >= 1e3 THEN regexp_replace(printf('%.2f', {q.r('v / 1e3', 2)}), '\\.?0+$', '') || 'K' ELSE printf('%.0f', v) END AS shown FROM t""",
+)
+def _compact(spark, sf_dir):
+    t = tx(spark, sf_dir, state=True)
+    count, amount = F.count("*").cast("double").alias("v"), kpis.exact_sum("amt")
+    rows = t.groupBy("state").agg(F.explode(F.array(count, amount, -1000 * amount)).alias("v"))
+    return rows.withColumn("shown", compact_number("v"))
+
+
 @query(
     "a12_contract_tests",
     f"""{q.WITH}, {q.HOURLY}, found AS (SELECT (SELECT count(*) FROM (SELECT 1 FROM hourly GROUP BY trans_hour_ts, category HAVING count(*) > 1)) AS repeated,
@@ -503,6 +565,13 @@ def _contract(spark, sf_dir):
     return results_frame(spark, [_report(spark, sf_dir)])
 
 
+@query("l08_failing_examples", f"SELECT contract, \"check\", least(failing_rows, 5) AS examples FROM ({C_ORACLE}) WHERE NOT passed AND \"check\" IN ('required_columns', 'amounts', 'categories', 'zips', 'flag', 'positive', 'latitude', 'fraud_fraction')")
+def _examples(spark, sf_dir):
+    """How many failing rows each failed check shows: 5 at most, where a row by itself can fail."""
+    report = validate(feeds.dirty_transactions(spark, sf_dir), contract_from_dict(CONTRACT))
+    return spark.createDataFrame([(report.contract, r.name, len(r.examples)) for r in report.results if r.examples], "contract string, check string, examples long")
+
+
 @query("a23_contract_summary", f"SELECT contract, count(*) AS checks, count(*) FILTER (WHERE NOT passed AND severity = 'error') AS errors, count(*) FILTER (WHERE NOT passed AND severity = 'warn') AS warnings, 'FAILED' AS status FROM ({C_ORACLE}) GROUP BY 1")
 def _summary(spark, sf_dir):
     return summarize(results_frame(spark, [_report(spark, sf_dir)]))
@@ -672,6 +741,11 @@ def _order_series(spark, sf_dir):
     return forecast.daily_series(o.agg(F.count("*").alias("txns")), o.agg(F.count_if(F.col("o_orderkey") % 37 == 0).alias("fraud_txns")))
 
 
+@query("m08_fourier_future")
+def _fourier_future(spark, sf_dir):
+    return forecast.fourier_future(_order_series(spark, sf_dir), 28)
+
+
 @query("m09_fourier_sweep")
 def _sweep(spark, sf_dir):
     return forecast.sweep(_order_series(spark, sf_dir), 56)

@@ -73,7 +73,7 @@ class Files:
 
 
 def days(time: str) -> str:
-    """The UTC day of a timestamp column, whatever the session's time zone; a transform of tables."""
+    """The UTC day of a timestamp column, whatever the session's time zone; a transform of tables. For a column without zone ``to_date`` does."""
     return f"date_from_unix_date(cast(floor(unix_seconds({time}) / 86400) as int))"
 
 
@@ -92,7 +92,8 @@ class Table:
 
     ``keyed_partitions``: the partition columns follow from the keys of an upsert (as a window's day from its start), so
     that a row and the one it replaces lie in one partition. ``transforms`` are further partition columns by name, as SQL over
-    the rows (``days`` and ``buckets`` write such SQL); they are made on writing and readers don't see them.
+    the rows (``days`` and ``buckets`` write such SQL); they are made on writing and readers don't see them. ``kind`` is the
+    format of the files, one that Spark writes in folders with a schema of their own: parquet or orc.
     """
 
     spark: SparkSession
@@ -100,6 +101,7 @@ class Table:
     partition_by: Sequence[str] = ()
     keyed_partitions: bool = False
     transforms: Mapping[str, str] = field(default_factory=dict)
+    kind: str = "parquet"
 
     @property
     def _by(self) -> list[str]:
@@ -124,7 +126,7 @@ class Table:
         if not folders:
             return self.spark.createDataFrame([], schema).drop(*self.transforms)
         reader = self.spark.read.schema(StructType([*schema.fields, StructField(VERSION, StringType())])) if self._by else self.spark.read.schema(schema)
-        out = reader.option("basePath", self.path).parquet(*folders) if self._by else reader.parquet(*folders)
+        out = (reader.option("basePath", self.path) if self._by else reader).format(self.kind).load(folders)
         return out.select(*(c for c in schema.names if c not in self.transforms))
 
     def read(self) -> DataFrame:
@@ -140,7 +142,7 @@ class Table:
             raise ValueError(f"columns named as transforms: {sorted(clash)}")
         df = df.withColumns({name: F.expr(made) for name, made in self.transforms.items()}) if self.transforms else df
         writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(*self._by) if self._by else writer).parquet(f"{self.path}/{version}")
+        (writer.partitionBy(*self._by) if self._by else writer).format(self.kind).save(f"{self.path}/{version}")
         found = [""]
         for _ in self._by:
             found = [f"{p}/{d}".lstrip("/") for p in found for d in self.files.list(f"{self.path}/{version}/{p}") if "=" in d]
@@ -208,6 +210,14 @@ class Table:
         return out
 
 
+def save_managed(df: DataFrame, name: str, kind: str = "delta", path: str | None = None) -> DataFrame:
+    """``name`` in Spark's catalog, overwritten whole in a table format of its own choice (``delta`` needs its package);
+    at ``path``, or where the catalog puts it."""
+    writer = df.write.format(kind).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replace only the partitions that ``df`` has rows for."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)

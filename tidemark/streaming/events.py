@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from time import monotonic, sleep
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions import exact_avg, exact_sum
@@ -48,6 +51,40 @@ def kafka_sink(df: DataFrame, servers: str, topic: str) -> None:
     out.write.format("kafka").options(**{"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all", "kafka.enable.idempotence": "true"}).save()
 
 
+class Undelivered(Exception):
+    """Fewer rows went out than there were."""
+
+
+def deliver(sent: DataFrame, send: Callable[[DataFrame], None], seconds: float = 0, time: str = "ingested_ts", clock: Callable[[], float] = monotonic, sleep: Callable[[float], None] = sleep) -> int:
+    """Hand ``sent`` to ``send``, which writes it or raises, and return how many rows went out.
+
+    With ``seconds`` it goes out in slices of so many seconds of ``time``, each at its place on the clock and not before; rows
+    without a time go first. Slices are counted before, and one that goes out short raises Undelivered.
+    """
+    if not seconds:
+        parts = {0: (sent, None)}
+    else:
+        at = F.coalesce(F.unix_timestamp(F.try_to_timestamp(F.col(time).cast("string"))), F.lit(0))
+        sent = sent.withColumn("__slot", F.floor(at / seconds)).persist(StorageLevel.DISK_ONLY)
+        counts = {r["__slot"]: r["count"] for r in sent.groupBy("__slot").count().collect()}  # one row a slice
+        parts = {k: (sent.where(F.col("__slot") == k).drop("__slot"), counts[k]) for k in sorted(counts)}
+    begun, first, done = clock(), min((k for k in parts if k), default=0), 0
+    try:
+        for slot, (part, n) in parts.items():
+            if (early := begun + (slot - first) * seconds - clock()) > 0:
+                sleep(early)
+            seen = Observation(f"deliver-{uuid.uuid4().hex[:8]}")
+            send(part.observe(seen, F.count(F.lit(1)).alias("n")))
+            went = int(seen.get["n"])
+            if n is not None and went != n:
+                raise Undelivered(f"{went} of {n} rows of slice {slot}")
+            done += went
+    finally:
+        if seconds:
+            sent.unpersist()
+    return done
+
+
 def deduplicated(events: DataFrame, watermark: str = WATERMARK, time: str = "event_ts") -> DataFrame:
     """Each trans_num once within the watermark; state is dropped as the watermark passes."""
     return events.withWatermark(time, watermark).dropDuplicatesWithinWatermark(["trans_num"])
