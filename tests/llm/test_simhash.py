@@ -275,3 +275,62 @@ def test_columns_of_any_name_are_kept(spark, make):
     got = s.keep_first(docs)
     assert got.schema == docs.schema
     assert sorted((r["doc_id"], r["__t1"], r["_id"], r["T2"], r["dotted.name"]) for r in got.collect()) == [(1, *["mine"] * 4), (3, *["mine"] * 4)]
+
+
+def test_weighted_fingerprints_take_every_shingle():
+    """Against sums over all shingles, one at a time; an alike text is near in a good part of them, others are not."""
+    rng = random.Random(51)
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & mask
+        return x ^ x >> 32
+
+    def slow(h, family):
+        place = [(mixed(x * int(s._WEIGHT[family, 0]) & mask) >> 11) + 1 for x in h]
+        last = sorted(place)[min(s.HEAVIEST, len(place)) - 1]
+        weight = [round((min(1, last / p) * min(1, last / p)) ** 2 * 2**s.FULL) for p in place]
+        bits = [mixed(x * int(s._BITS[family, 0]) & mask) for x in h]
+        return sum(1 << b for b in range(64) if 2 * sum(w for w, x in zip(weight, bits) if x >> b & 1) > sum(weight))
+
+    for n in (1, 5, 6, 9, 40, 300):
+        h = s.shingle_hashes(prose(rng, n))
+        got = s.weighted_fingerprints(h)
+        assert [int(x) for x in got] == [slow(h.tolist(), f) for f in range(s.FAMILIES)]
+    for n, cut, more in ((100, 0, 24), (200, 20, 20), (13, 1, 1)):
+        w = prose(rng, n).split()
+        a, b, c = (s.weighted_fingerprints(s.shingle_hashes(" ".join(x))) for x in (w, w[: n - cut] + prose(rng, more).split(), prose(rng, n).split()))
+        assert (np.bitwise_count(a ^ b) <= s.DISTANCE).sum() >= 6 and (np.bitwise_count(a ^ c) > s.DISTANCE).all()
+    text = prose(rng, 80)
+    assert s._signed(s.fingerprint(text)) in s.profile(text)[0] and s.profile(" ") == ([0], b"", 0, b"")
+
+
+@pytest.mark.parametrize("apart", [0b111, 0b1111])
+def test_candidates_are_found_by_distance(spark, make, monkeypatch, apart):
+    """Alike texts without an equal fingerprint: three bits apart in one family they meet, four bits apart they don't."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(52)
+    w = prose(rng, 100).split()
+    rows = [(1, " ".join(w)), (2, " ".join([*w[:-1], "changed"])), (3, prose(rng, 100))]
+    real = s.profiles
+
+    def moved(docs):
+        far = F.array(F.lit(rng.getrandbits(62)), F.col("fps")[0])
+        return real(docs).withColumn("fps", F.when(F.col("doc_id") == 2, F.array(F.lit(rng.getrandbits(62)), F.lit(0x5A5A5A5A << 20 ^ apart << 11))).when(F.col("doc_id") == 1, F.array(F.lit(0x5A5A5A5A << 20))).otherwise(far))
+
+    monkeypatch.setattr(s, "profiles", moved)
+    assert sorted(r["doc_id"] for r in s.keep_first(make(rows)).collect()) == ([1, 3] if apart == 0b111 else [1, 2, 3])
+
+
+def test_runs_with_links_are_found():
+    rng = np.random.default_rng(5)
+    size = rng.integers(1, 80, 60)
+    own = rng.integers(0, 1 << 63, size.sum()).astype(np.uint64)
+    at = np.cumsum(size) - size
+    for k in range(0, 60, 3):
+        if size[k] > 2:
+            u, v = rng.choice(size[k], 2, replace=False)
+            own[at[k] + u] = own[at[k] + v] ^ np.uint64(0b1011)
+    want = [2 < n <= s.FEW and len(s.forest(own[a : a + n], 0, 3)) > 0 for a, n in zip(at, size)]
+    assert s._with_links(own, size, 3).tolist() == want and any(want)

@@ -8,6 +8,7 @@ in chunks of bounded size; those of a key with more of them than a chunk holds a
 leaves open, and keys that are still too large are dealt over pairs of chunks. Keys far too large for one call are found by
 counting first and never gathered. A chunk returns a spanning forest of its close pairs, not the pairs: groups keep every link, and output grows with the fingerprints.
 ``components`` joins the forests into groups by alternating large-star and small-star steps.
+``keep_first`` takes its candidates from the same search, over the fingerprint of every text and weighted ones, and decides them on all shingles.
 
 Defined results: a null text is an empty one; a text without words has fingerprint zero, which links like any other;
 repeated rows and ties share a fingerprint and a group; a null doc_id is a row of its own and never names a group unless all
@@ -97,6 +98,8 @@ def forest(fp: np.ndarray, split: int, distance: int) -> list[tuple[int, int]]:
 KEYED_ROWS, BUCKET_KEYS = 1 << 14, 1 << 20
 #: A key with more members than this doesn't go to a bucket; it is looked for in buckets of more than OVERLOADED times their share.
 HOT_KEY, OVERLOADED = 1 << 18, 2
+#: Keys of up to so many members are tried together first; most hold no link.
+FEW = 64
 #: Parts over which the members of one key are dealt when they learn how many they are.
 SALTS = 32
 
@@ -129,11 +132,17 @@ def _hot_keys(fps: DataFrame, keys: Keys, buckets: int) -> np.ndarray:
 
     def counting(only: np.ndarray | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            full = np.zeros(buckets, np.int64)
             for batch in batches:
                 key = keys.of(batch["fp"].to_numpy().view(np.uint64))[2]
                 to = (key >> np.uint64(20)) % np.uint64(buckets)
-                what, n = np.unique(to if only is None else key[np.isin(to, only)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(what.view(np.int64)), pa.array(n)], names=["what", "n"])
+                if only is None:
+                    full += np.bincount(to.astype(np.int64), minlength=buckets)
+                else:
+                    what, n = np.unique(key[np.isin(to, only)], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(what.view(np.int64)), pa.array(n)], names=["what", "n"])
+            if only is None:  # once a task, not once a batch
+                yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(full)), pa.array(full[full > 0])], names=["what", "n"])
 
         return run
 
@@ -145,6 +154,19 @@ def _hot_keys(fps: DataFrame, keys: Keys, buckets: int) -> np.ndarray:
     return most(overloaded, HOT_KEY) if len(overloaded) else overloaded
 
 
+def _with_links(own: np.ndarray, size: np.ndarray, distance: int) -> np.ndarray:
+    """Whether a run of ``own`` holds a pair within ``distance``, of runs of the sizes ``size`` up to FEW: all runs are tried at once."""
+    run, found = np.repeat(np.arange(len(size)), size), np.zeros(len(size), bool)
+    i = np.flatnonzero((size[run] > 2) & (size[run] <= FEW))
+    for lag in range(1, FEW):
+        i = i[i + lag < len(own)]
+        i = i[(run[i] == run[i + lag]) & ~found[run[i]]]
+        if not len(i):
+            break
+        found[run[i[np.bitwise_count(own[i] ^ own[i + lag]) <= distance]]] = True
+    return found
+
+
 def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK) -> DataFrame:
     """(a, b) with a < b: links between the different fingerprints ``fp`` of ``fps``, forests by key.
 
@@ -194,7 +216,8 @@ def links(fps: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = CHUNK
             two = at[size == 2]
             two = two[np.bitwise_count(own[two] ^ own[two + 1]) <= distance]
             u, v = [own[two]], [own[two + 1]]
-            for i, n in zip(at[(size > 2) & (size <= chunk)].tolist(), size[(size > 2) & (size <= chunk)].tolist(), strict=True):
+            tried = (size > 2) & (size <= chunk) & ((size > FEW) | _with_links(own, size, distance))
+            for i, n in zip(at[tried].tolist(), size[tried].tolist(), strict=True):
                 pairs = forest(own[i : i + n], 0, distance)
                 if pairs:
                     p = np.array(pairs, np.int64) + i
@@ -313,14 +336,19 @@ def groups(rows: DataFrame, distance: int = 3, blocks: int = 6) -> DataFrame:
     return rows.join(per_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-#: For near_duplicates: shingle length, similarity; fingerprints of each text and min-hash shingles in each.
-SHINGLE, SIMILARITY, FAMILIES, ROWS = 5, 0.8, 32, 5
+#: For near_duplicates: shingle length, similarity; weighted fingerprints of each text and shingles of full weight in each.
+SHINGLE, SIMILARITY, FAMILIES, HEAVIEST = 5, 0.8, 40, 3
+#: Bits in which linked fingerprints differ at most, and the blocks that they are cut into.
+DISTANCE, BLOCKS = 3, 5
 #: So many of the smallest shingle hashes go to the first comparison, and a pair goes on if the smaller one shares this part of them.
 FIRST, FIRST_SHARE = 32, 0.4
 #: Members and shingles of one part of a cell; bytes that one call compares.
 CELL, CELL_SHINGLES, CELL_BYTES = 1024, 1 << 20, 16 << 20
 
-_FACTORS = mix(np.arange(1, FAMILIES * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+#: A factor of each family for the weights of shingles, and one for their bits.
+_WEIGHT, _BITS = (mix(np.arange(1, 2 * FAMILIES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)).reshape(2, FAMILIES, 1)
+#: Shingles that are weighed at once; a full weight is so many powers of two, so sums of weights are exact in any order.
+WEIGHED, FULL = 128, 44
 
 
 def shingle_hashes(text: str | None) -> np.ndarray:
@@ -338,22 +366,43 @@ def shingle_hashes(text: str | None) -> np.ndarray:
     return np.unique(np.array([digest(view[a:b]) for a, b in zip([0, *ends[: n - 1].tolist()], stops, strict=True)], "<u8"))
 
 
+def weighted_fingerprints(h: np.ndarray) -> np.ndarray:
+    """``FAMILIES`` SimHash fingerprints of a text with the shingle hashes ``h``: the majority bits of all shingles, by weight.
+
+    A family ranks the shingles by a hash of its own. The ``HEAVIEST`` first weigh the same, and the weight of the others falls with the
+    fourth power of their hash; so alike texts differ in few bits of a family whose heavy shingles both have.
+    """
+    if not len(h):
+        return np.zeros(FAMILIES, np.uint64)
+
+    def place(at: int) -> np.ndarray:
+        return (mix(_WEIGHT * h[at : at + WEIGHED]) >> np.uint64(11)).astype(np.float64) + 1
+
+    first = np.full((FAMILIES, HEAVIEST), np.inf)
+    for at in range(0, len(h), WEIGHED):
+        first = np.partition(np.concatenate([first, place(at)], axis=1), HEAVIEST - 1, axis=1)[:, :HEAVIEST]
+    last = np.sort(first, axis=1)[:, min(HEAVIEST, len(h)) - 1, None]
+    ones, total = np.zeros((FAMILIES, 64)), np.zeros((FAMILIES, 1))
+    for at in range(0, len(h), WEIGHED):
+        w = np.minimum(1, last / place(at))
+        w *= w
+        w = np.rint(w * w * (1 << FULL))
+        bits = np.unpackbits(mix(_BITS * h[at : at + WEIGHED]).astype("<u8").view(np.uint8).reshape(FAMILIES, -1, 8), axis=2, bitorder="little")
+        ones += np.matmul(w[:, None, :], bits.astype(np.float64))[:, 0]
+        total += w.sum(axis=1, keepdims=True)
+    return np.packbits(2 * ones > total, axis=1, bitorder="little").view("<u8").ravel()
+
+
 def profile(text: str | None) -> tuple[list[int], bytes, int, bytes]:
-    """``FAMILIES`` SimHash fingerprints, the ``FIRST`` smallest 32-bit hashes of the shingles, and how many shingles there are and all their 40-bit hashes, packed.
+    """The different SimHash fingerprints, the ``FIRST`` smallest 32-bit hashes of the shingles, and how many shingles there are and all their 40-bit hashes, packed.
 
-    A fingerprint has the majority bits of ``ROWS`` shingles, each the smallest under a hash function of its own.
+    The fingerprints are that of ``op2_simhash`` and ``FAMILIES`` weighted ones. Texts without words have zero only.
     """
     h = shingle_hashes(text)
-    if not len(h):
-        return [0] * FAMILIES, b"", 0, b""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(h), 512):
-        np.minimum(least, (_FACTORS[:, None] * h[None, at : at + 512]).min(axis=1), out=least)
-    bits = np.unpackbits(mix(least).view(np.uint8).reshape(FAMILIES, ROWS, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.uint8)
-    fps = np.packbits(2 * bits > ROWS, axis=1, bitorder="little").view("<i8").ravel().tolist()
+    fps = np.unique(np.append(weighted_fingerprints(h), np.uint64(fingerprint(text)))).view(np.int64).tolist()
     sketch = np.unique((h >> np.uint64(32)).astype("<u4"))[:FIRST].tobytes()
     own = np.unique(h >> np.uint64(24))
-    return fps, sketch, len(own), pack_sorted(own)
+    return fps, sketch, len(own), pack_sorted(own) if len(own) else b""
 
 
 def spanning(sets: list[np.ndarray], split: int, alike) -> list[tuple[int, int]]:
@@ -428,14 +477,8 @@ def linked(members: DataFrame, texts: DataFrame, decode, alike) -> DataFrame:
     return dealt.drop("big").groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(least, t1, t2): of every group the smallest doc_id and the keys of its text; that row stays.
-
-    Texts are grouped if their sets of five-word shingles are ``similarity`` alike or more. Candidates have an equal one of ``FAMILIES``
-    SimHash fingerprints, each over ``ROWS`` shingles that min-hashes select, whatever was changed and wherever: two texts s alike agree in a
-    fingerprint with probability s^ROWS, and at 0.8 in none of them three times in a million. All pairs under a fingerprint whose
-    sketches aren't far apart make groups of candidates; all pairs of such a group are then compared by their whole sets.
-    """
+def profiles(docs: DataFrame) -> DataFrame:
+    """(doc_id, t1, t2, fps, sketch, size, shingles): the profile of every row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -443,10 +486,31 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             columns = [pa.array(fps, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), pa.array(size, pa.int32()), pa.array(own, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["t1"], batch["t2"], *columns], names=["doc_id", "t1", "t2", "fps", "sketch", "size", "shingles"])
 
-    rows = keyed(docs).select("doc_id", "t1", "t2", "text").mapInArrow(run, "doc_id long, t1 long, t2 long, fps array<long>, sketch binary, size int, shingles binary")
+    return keyed(docs).select("doc_id", "t1", "t2", "text").mapInArrow(run, "doc_id long, t1 long, t2 long, fps array<long>, sketch binary, size int, shingles binary")
+
+
+def by_links(texts: DataFrame) -> DataFrame:
+    """(key, t1): the texts (t1, fps) under every group of fingerprints that links within ``DISTANCE`` bits join.
+
+    Fingerprints of all families lie in one table: two that aren't of one family are as near as that by chance once in 4 * 10^14.
+    """
+    own = texts.select("t1", F.explode("fps").alias("fp"))
+    fps = materialize(own.select("fp").distinct(), "fps")
+    roots = components(links(fps, DISTANCE, BLOCKS))
+    return own.join(roots, own["fp"] == roots["node"], "left").select(F.coalesce("root", "fp").alias("key"), "t1")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(least, t1, t2): of every group the smallest doc_id and the keys of its text; that row stays.
+
+    Texts are grouped if their sets of five-word shingles are ``similarity`` alike or more. Candidates have fingerprints within ``DISTANCE``
+    bits, searched by blocks and verified as in ``op2_simhash``: its own fingerprint or one of ``FAMILIES`` weighted ones, whatever was changed and
+    wherever. All pairs under a group of linked fingerprints whose sketches aren't far apart make groups of candidates; all pairs of such a group are
+    then compared by their whole sets.
+    """
     # the rows of one text are one node, named by its key
-    texts = materialize(rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("fps", "sketch", "size", "shingles"))), "texts")
-    keys = texts.select("t1", F.posexplode("fps").alias("family", "fp")).select(F.xxhash64("family", "fp").alias("key"), "t1")
+    texts = materialize(profiles(docs).groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), *(F.min(c).alias(c) for c in ("fps", "sketch", "size", "shingles"))), "texts")
+    keys = by_links(texts)
     first = texts.select("t1", F.least("size", F.lit(FIRST)).alias("size"), F.col("sketch").alias("data"))
     near = linked(keys, first, lambda x, n: np.frombuffer(x, "<u4"), lambda shared, sizes, size: shared >= FIRST_SHARE * np.minimum(sizes, size))
     candidates = components(near)
