@@ -334,3 +334,27 @@ def test_runs_with_links_are_found():
             own[at[k] + u] = own[at[k] + v] ^ np.uint64(0b1011)
     want = [2 < n <= s.FEW and len(s.forest(own[a : a + n], 0, 3)) > 0 for a, n in zip(at, size)]
     assert s._with_links(own, size, 3).tolist() == want and any(want)
+
+
+def test_buckets_are_counted_once_a_task(spark, monkeypatch):
+    """The rows of the count follow tasks and buckets, not Arrow batches."""
+    from pyspark.sql import functions as F
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16")
+    fps = spark.range(0, 4000, 1, 2).select(F.xxhash64("id").alias("fp"))
+    made, cls = [], type(fps)
+    real = cls.mapInArrow
+
+    def counted(self, *args):
+        out = real(self, *args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(cls, "mapInArrow", counted)
+    try:
+        assert len(s._hot_keys(fps, s.Keys(s.chosen_masks((1 << 64) - 1, 5, 3)), 7)) == 0
+    finally:
+        spark.conf.set(key, before)
+    assert made == [2 * 7]
