@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -139,3 +140,31 @@ def test_question_and_answer_must_both_be_there(spark, make):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 500), (5, 500)}
     assert all(min(r["question_overlap"], r["answer_overlap"]) >= d.MIN_PART for r in got)
     assert sorted(r["doc_id"] for r in d.decontaminate(make(rows), bench).collect()) == [2, 3, 4, 6]
+
+
+def _index(items):
+    words = Counter(w for _, t in items for w in set(d.words_of(t)))
+    return d.Index(items, 20.0, {w: math.log(1 + (len(items) - c + 0.5) / (c + 0.5)) for w, c in words.items()}, set())
+
+
+def test_search_memory_follows_no_posting_lists():
+    rng = random.Random(4)
+    shared = [word(rng) for _ in range(20)]
+    index = _index([(k, " ".join([*shared, f"own{k}", f"last{k}"])) for k in range(400)])
+    texts = [" ".join(rng.choices(shared, k=8)) for _ in range(2000)]  # 0.1 MB of text, 5 million postings
+    tracemalloc.start()
+    try:
+        assert index.search(texts, 0.99, d.MIN_OVERLAP) == [[] for _ in texts]
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_search_in_runs_of_postings(monkeypatch, items, docs):
+    index = _index([(i, t) for i, t in items if d.words_of(t)])
+    texts = [t for _, t in docs]
+    want = index.search(texts, d.MIN_SCORE, d.MIN_OVERLAP)
+    assert sum(map(len, want)) > 20
+    for most in (1, 50, 1 << 40):
+        monkeypatch.setattr(d, "POSTINGS", most)
+        assert index.search(texts, d.MIN_SCORE, d.MIN_OVERLAP) == want

@@ -36,6 +36,8 @@ MIN_SCORE, MIN_OVERLAP, SHINGLE = 0.6, 0.8, 5
 #: Share of its question and of its answer that a passage must hold, and from how many words on they are compared by pairs.
 MIN_PART, PAIRS_FROM = 0.5, 4
 CHUNK_BYTES, BLOCK = 8 << 20, 16
+#: Postings that the bound over many passages looks at at once (or those of one passage): some 40 MB.
+POSTINGS = 1 << 19
 #: A word is common if more than this share of items holds it.
 COMMON = 0.05
 
@@ -148,6 +150,28 @@ class Index:
         share = lambda s, n: len(s & have[n]) / len(s) if s else 0.0
         return share(self.shingles[d], SHINGLE), *(share(s, n) for n, s in self.parts[d])
 
+    def reached(self, passages: np.ndarray, min_score: float) -> set[int]:
+        """Rows of ``passages`` whose rare words reach ``min_score`` for an item, with all that its common words could add.
+
+        Taken in runs of at most POSTINGS postings: a passage's words may have any share of the index each, so its text doesn't bound them.
+        """
+        live: set[int] = set()
+        ends = np.cumsum(self.rare_size[passages].sum(axis=1))
+        at = 0
+        while at < len(passages):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + POSTINGS, side="right")))
+            r, c = np.nonzero(self.rare_size[passages[at:end]])
+            term = passages[at:end][r, c]
+            size = self.rare_size[term]
+            row = np.repeat(r, size)
+            post = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.rare_at[term], size)
+            key = row * len(self.ids) + self.rare_doc[post]
+            each, where = np.unique(key, return_inverse=True)
+            bound = np.bincount(where, self.rare_share[post], len(each)) + self.common_share[each % len(self.ids)]
+            live |= set((at + each[bound >= min_score - 1e-9] // len(self.ids)).tolist())
+            at = end
+        return live
+
     def search(self, texts: list[str | None], min_score: float, min_overlap: float) -> list[list[tuple]]:
         """For each text its verified items: (item_id, score, overlap, question overlap, answer overlap), best passage each."""
         stride, get = self.stride, self.vocab.get
@@ -169,15 +193,7 @@ class Index:
         after[:-1] = np.where((owner[1:] == owner[:-1])[:, None], blocks[1:], 0)
         passages = np.sort(np.concatenate([blocks, after], axis=1), axis=1)
         passages[:, 1:][passages[:, 1:] == passages[:, :-1]] = 0  # each word once
-        r, c = np.nonzero(self.rare_size[passages])
-        term = passages[r, c]
-        size = self.rare_size[term]
-        row = np.repeat(r, size)
-        post = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.rare_at[term], size)
-        key = row * len(self.ids) + self.rare_doc[post]
-        each, where = np.unique(key, return_inverse=True)
-        bound = np.bincount(where, self.rare_share[post], len(each)) + self.common_share[each % len(self.ids)]
-        live = set((each[bound >= min_score - 1e-9] // len(self.ids)).tolist())
+        live = self.reached(passages, min_score)
         if (all_common := self.common_share >= min_score - 1e-9).any():  # items of common words alone: no rare word needed
             common = [t for t in range(1, len(self.docs)) if self.rare_size[t] == 0 and any(all_common[d] for d in self.docs[t])]
             live |= set(np.flatnonzero(np.isin(passages, common).any(axis=1)).tolist())
